@@ -1,0 +1 @@
+"""No streaming jobs: all four jobs of this engine are batch jobs over a whole corpus."""
