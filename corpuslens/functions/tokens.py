@@ -18,8 +18,8 @@ def _ignoring_case(marker: str) -> str:
 
 def _first_marker(text: Column, markers: tuple[str, ...]) -> Column:
     """Position of the first marker *of the list* that occurs; null if none does."""
-    found = [F.regexp_instr(text, F.lit(_ignoring_case(m))) for m in markers]
-    return F.coalesce(*[F.nullif(position, F.lit(0)) for position in found])
+    found = F.array(*[F.regexp_instr(text, F.lit(_ignoring_case(m))) for m in markers])
+    return F.get(F.filter(found, lambda position: position > 0), F.lit(0))
 
 
 def strip_boilerplate(books: DataFrame, text: str = "text") -> DataFrame:
@@ -65,3 +65,16 @@ def counted_words(text: Column) -> Column:
 
 def trim_apostrophes(word: Column) -> Column:
     return F.btrim(word, F.lit("'"))
+
+
+def word_rows(rows: DataFrame, words: str) -> DataFrame:
+    """One row per element of the array column ``words``, named ``word``.
+
+    A plain ``explode`` makes Spark test the array's size first, and that test is
+    pushed below to the scan where it tokenises every text once more; the outer form
+    with the null check after it computes the array once.
+    """
+    others = [F.col(c) for c in rows.columns if c != words]
+    return rows.select(*others, F.explode_outer(words).alias("word")).filter(
+        F.col("word").isNotNull()
+    )

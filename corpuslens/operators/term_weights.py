@@ -8,7 +8,7 @@ that follows needs no further shuffle.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.functions.tokens import content_words, strip_boilerplate
+from corpuslens.functions.tokens import content_words, strip_boilerplate, word_rows
 from corpuslens.operators.lookup import join_lookup
 
 
@@ -20,7 +20,7 @@ def _words(books: DataFrame, key: str) -> DataFrame:
 
 def tokens(books: DataFrame, key: str = "file_name") -> DataFrame:
     """``(key, word)``: one row per token."""
-    return _words(books, key).select(key, F.explode("words").alias("word"))
+    return word_rows(_words(books, key), "words")
 
 
 def token_count(books: DataFrame, key: str = "file_name") -> DataFrame:
@@ -40,9 +40,7 @@ def term_frequency(books: DataFrame, key: str = "file_name") -> DataFrame:
     """``(key, word, word_count, total_words, tf)``; keys are unique in ``books``."""
     words = _words(books.select(key, "text").repartition(key), key)
     return (
-        words.select(
-            key, F.size("words").cast("bigint").alias("total_words"), F.explode("words").alias("word")
-        )
+        word_rows(words.withColumn("total_words", F.size("words").cast("bigint")), "words")
         .groupBy(key, "total_words", "word")
         .agg(F.count("*").alias("word_count"))
         .select(
