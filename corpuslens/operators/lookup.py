@@ -1,11 +1,10 @@
 """Join of many rows with a table of their keys, safe against frequent keys."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys can each cover one part in this many of the rows, so the
-# broadcast side below never has more rows, however large the data.
 COMMON_KEYS = 200_000
+KEY_BYTES = 64
 
 
 def join_lookup(
@@ -13,19 +12,23 @@ def join_lookup(
     lookup: DataFrame,
     on: str,
     frequency: str,
+    key_bytes: Column,
     common_keys: int = COMMON_KEYS,
 ) -> DataFrame:
     """Inner join of ``rows`` with ``lookup``, which has one row per key.
 
-    ``frequency`` is the number of rows a key has. Keys that hold at least
-    1/``common_keys`` of all rows number ``common_keys`` at most; they are
-    broadcast and their rows, most of all rows for words of a language, are not
-    shuffled. The other rows are shuffled, and there no key is frequent.
+    ``frequency`` is the number of rows a key has. A key is common if it holds at
+    least 1/``common_keys`` of all rows, or, where it is longer than ``KEY_BYTES``, as
+    many times that as it is longer. Shares add up to one, so however large the data,
+    there are at most ``common_keys`` such keys, of ``common_keys`` x ``KEY_BYTES``
+    bytes together: they are broadcast, and their rows, which are most rows for the
+    words of a language, are not shuffled. The other rows are, and no key is frequent
+    among them.
     """
     share = lookup.agg(F.sum(frequency) / F.lit(float(common_keys))).scalar()
-    common = F.broadcast(lookup.filter(F.col(frequency) >= share))
-    rare = lookup.filter(F.col(frequency) < share)
-    return rows.join(common, on).unionByName(
-        rows.join(F.broadcast(lookup.filter(F.col(frequency) >= share).select(on)), on, "left_anti")
-        .join(rare, on)
-    )
+    least = share * F.greatest(F.lit(1.0), key_bytes / F.lit(float(KEY_BYTES)))
+    common = lookup.filter(F.col(frequency) >= least)
+    rare = lookup.filter(F.col(frequency) < least)
+    by_broadcast = rows.join(F.broadcast(common), on)
+    by_shuffle = rows.join(F.broadcast(common.select(on)), on, "left_anti").join(rare, on)
+    return by_broadcast.unionByName(by_shuffle)

@@ -87,6 +87,7 @@ def weighted(
         vocabulary.select("word", "doc_freq", "idf", *extra),
         on="word",
         frequency="doc_freq",
+        key_bytes=F.octet_length("word"),
     ).select(key, "word", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"), *extra)
 
 

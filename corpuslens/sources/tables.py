@@ -10,9 +10,18 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def spread(rows: DataFrame, by: str) -> DataFrame:
+    """Even out input that has fewer splits than there are cores; else as it is.
+
+    Large tables have more splits than cores and are never shuffled for this.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, by) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def documents(spark: SparkSession, directory: str) -> DataFrame:
     """``(doc_id, text)``: one row per document, other columns stay unread."""
-    return read_table(spark, directory, "documents").select("doc_id", "text")
+    return spread(read_table(spark, directory, "documents").select("doc_id", "text"), "doc_id")
 
 
 def documents_as_books(spark: SparkSession, directory: str) -> DataFrame:
@@ -79,6 +88,6 @@ def books_with_headers(spark: SparkSession, directory: str) -> DataFrame:
         .select("doc_id", header.alias("header"))
     )
     footer = F.lit("\n*** END OF THIS PROJECT GUTENBERG EBOOK ***\n")
-    return docs.select("doc_id", "text").join(headers, "doc_id").select(
+    return documents(spark, directory).join(headers, "doc_id").select(
         "doc_id", F.concat("header", "text", footer).alias("text")
     )
