@@ -75,20 +75,20 @@ def tfidf(books: DataFrame, key: str = "file_name") -> DataFrame:
     """``(key, word, tf, idf, tfidf)``."""
     counts = term_frequency(books, key)
     vocabulary = inverse_document_frequency(books, counts, key)
-    return weighted(counts, vocabulary, key)
+    return weighted(counts, vocabulary, key).select(key, "word", "tf", "idf", "tfidf")
 
 
 def weighted(
-    term_counts: DataFrame, vocabulary: DataFrame, key: str = "file_name", *extra: str
+    term_counts: DataFrame, vocabulary: DataFrame, key: str = "file_name"
 ) -> DataFrame:
-    """Attach ``idf`` and the ``extra`` columns of the vocabulary to the term counts."""
+    """``(key, tf, tfidf)`` and the columns of the vocabulary."""
     return join_lookup(
         term_counts.select(key, "word", "tf"),
-        vocabulary.select("word", "doc_freq", "idf", *extra),
+        vocabulary,
         on="word",
         frequency="doc_freq",
         key_bytes=F.octet_length("word"),
-    ).select(key, "word", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"), *extra)
+    ).select(key, "tf", (F.col("tf") * F.col("idf")).alias("tfidf"), *vocabulary.columns)
 
 
 def document_norms(weights: DataFrame, key: str = "file_name") -> DataFrame:

@@ -15,8 +15,8 @@ from corpuslens.operators import metadata as M
 from corpuslens.operators import similarity as S
 from corpuslens.operators import term_weights as T
 from corpuslens.operators.word_count import word_count
-from corpuslens.plans.session import shared_folder
 from corpuslens.sources import files, tables
+from corpuslens.sources.storage import shared_folder
 
 KEY = "doc_id"
 TARGET = 10

@@ -1,7 +1,4 @@
-"""Session settings and the shared folder."""
-
-import tempfile
-import uuid
+"""Session settings."""
 
 from pyspark.sql import SparkSession
 
@@ -29,17 +26,3 @@ def local_session(cores: str = "*", memory: str = "16g", partitions: int = 8) ->
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
-
-    Only a local session may do without that setting; a cluster must name a folder
-    all its machines see.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="corpuslens-")
-    return f"{root}/{uuid.uuid4().hex}"

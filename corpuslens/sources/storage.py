@@ -1,0 +1,28 @@
+"""The folder shared by the machines of the cluster."""
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``.
+
+    Only a local session may do without that setting; a cluster must name a folder
+    all its machines see.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        root = tempfile.mkdtemp(prefix="corpuslens-")
+    return f"{root}/{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """``rows`` written once and read back: computed once, and kept if executors are lost."""
+    spark = rows.sparkSession
+    folder = shared_folder(spark)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
