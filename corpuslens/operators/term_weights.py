@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions.tokens import content_words, strip_boilerplate, word_rows
 from corpuslens.operators.lookup import join_lookup
+from corpuslens.sources.storage import stored
 
 
 def _words(books: DataFrame, key: str) -> DataFrame:
@@ -36,54 +37,54 @@ def tokens_per_document(books: DataFrame, key: str = "file_name") -> DataFrame:
     return sizes.filter(F.col("tokens") > 0)
 
 
-def term_frequency(books: DataFrame, key: str = "file_name") -> DataFrame:
-    """``(key, word, word_count, total_words, tf)``; keys are unique in ``books``."""
+def term_counts(books: DataFrame, key: str = "file_name") -> DataFrame:
+    """``(key, word, word_count, total_words)``; keys are unique in ``books``."""
     words = _words(books.select(key, "text").repartition(key), key)
     return (
         word_rows(words.withColumn("total_words", F.size("words").cast("bigint")), "words")
         .groupBy(key, "total_words", "word")
         .agg(F.count("*").alias("word_count"))
-        .select(
-            key,
-            "word",
-            "word_count",
-            "total_words",
-            (F.col("word_count") / F.col("total_words")).alias("tf"),
-        )
+        .select(key, "word", "word_count", "total_words")
     )
 
 
-def document_frequency(term_counts: DataFrame, key: str = "file_name") -> DataFrame:
+def term_frequency(counts: DataFrame) -> DataFrame:
+    """The term counts with ``tf``, a word's share of the tokens of its document."""
+    return counts.withColumn("tf", F.col("word_count") / F.col("total_words"))
+
+
+def document_frequency(counts: DataFrame, key: str = "file_name") -> DataFrame:
     """``(word, doc_freq)``."""
-    return term_counts.groupBy("word").agg(F.count(key).alias("doc_freq"))
+    return counts.groupBy("word").agg(F.count(key).alias("doc_freq"))
 
 
 def inverse_document_frequency(
-    books: DataFrame, term_counts: DataFrame, key: str = "file_name"
+    books: DataFrame, counts: DataFrame, key: str = "file_name"
 ) -> DataFrame:
     """``(word, doc_freq, idf)`` with idf = ln(N / doc_freq).
 
     N counts every book, also those without text or without a single token.
     """
     n_books = books.agg(F.count("*")).scalar()
-    return document_frequency(term_counts, key).withColumn(
+    return document_frequency(counts, key).withColumn(
         "idf", F.log(n_books / F.col("doc_freq"))
     )
 
 
-def tfidf(books: DataFrame, key: str = "file_name") -> DataFrame:
-    """``(key, word, tf, idf, tfidf)``."""
-    counts = term_frequency(books, key)
-    vocabulary = inverse_document_frequency(books, counts, key)
-    return weighted(counts, vocabulary, key).select(key, "word", "tf", "idf", "tfidf")
+def term_tables(books: DataFrame, key: str = "file_name") -> tuple[DataFrame, DataFrame]:
+    """Term counts and their vocabulary, for weighting. Starts the job that counts.
 
+    The counts are read several times, for the vocabulary and to join it. They are
+    written once, since reading them costs far less than tokenising the texts anew.
+    """
+    counts = stored(term_counts(books, key))
+    return counts, inverse_document_frequency(books, counts, key)
 
-def weighted(
-    term_counts: DataFrame, vocabulary: DataFrame, key: str = "file_name"
-) -> DataFrame:
+
+def weighted(counts: DataFrame, vocabulary: DataFrame, key: str = "file_name") -> DataFrame:
     """``(key, tf, tfidf)`` and the columns of the vocabulary."""
     return join_lookup(
-        term_counts.select(key, "word", "tf"),
+        term_frequency(counts).select(key, "word", "tf"),
         vocabulary,
         on="word",
         frequency="doc_freq",
@@ -91,6 +92,12 @@ def weighted(
     ).select(key, "tf", (F.col("tf") * F.col("idf")).alias("tfidf"), *vocabulary.columns)
 
 
+def tfidf(books: DataFrame, key: str = "file_name") -> DataFrame:
+    """``(key, word, tf, idf, tfidf)``."""
+    counts, vocabulary = term_tables(books, key)
+    return weighted(counts, vocabulary, key).select(key, "word", "tf", "idf", "tfidf")
+
+
 def document_norms(weights: DataFrame, key: str = "file_name") -> DataFrame:
     """``(key, norm)``: Euclidean length of each document's TF-IDF vector."""
     return weights.groupBy(key).agg(

@@ -45,12 +45,16 @@ def _dated(query: Callable[[DataFrame], DataFrame]) -> Query:
     return _books(lambda books: query(I.author_years(books, KEY)))
 
 
+def _counts(docs: DataFrame) -> DataFrame:
+    return T.term_counts(docs, KEY)
+
+
 def _term_frequency(docs: DataFrame) -> DataFrame:
-    return T.term_frequency(docs, KEY)
+    return T.term_frequency(_counts(docs))
 
 
 def _vocabulary(docs: DataFrame) -> DataFrame:
-    return T.inverse_document_frequency(docs, _term_frequency(docs), KEY)
+    return T.inverse_document_frequency(docs, _counts(docs), KEY)
 
 
 def _tfidf(docs: DataFrame) -> DataFrame:
@@ -96,10 +100,10 @@ def queries() -> dict[str, Query]:
             lambda d: T.tokens_per_document(d, KEY).orderBy(KEY).limit(10)
         ),
         # TF-IDF
-        "term_counts": _documents(lambda d: _term_frequency(d).select(KEY, "word", "word_count")),
+        "term_counts": _documents(lambda d: _counts(d).select(KEY, "word", "word_count")),
         "term_frequency": _documents(lambda d: rounded(_term_frequency(d), "tf")),
         "top_tf": _documents(lambda d: T.top_by(_term_frequency(d), "tf", 10, KEY, "word")),
-        "doc_frequency": _documents(lambda d: T.document_frequency(_term_frequency(d), KEY)),
+        "doc_frequency": _documents(lambda d: T.document_frequency(_counts(d), KEY)),
         "idf": _documents(lambda d: rounded(_vocabulary(d), "idf")),
         "idf_extremes": _documents(lambda d: T.idf_extremes(_vocabulary(d), 10)),
         "tfidf": _documents(lambda d: rounded(_tfidf(d), "tf", "idf", "tfidf")),
