@@ -12,7 +12,9 @@ SETTINGS = {
 }
 
 
-def local_session(cores: str = "*", memory: str = "16g", partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: str = "*", memory: str = "16g", partitions: int = 8, settings: dict[str, str] = {}
+) -> SparkSession:
     """A session for tests and the bench; on a cluster the submitter sets these."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -21,7 +23,7 @@ def local_session(cores: str = "*", memory: str = "16g", partitions: int = 8) ->
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
-    for name, value in SETTINGS.items():
+    for name, value in (SETTINGS | settings).items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,8 +9,9 @@ from corpuslens.plans.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", memory="8g", partitions=4)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("8", "8g", 4, {"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 

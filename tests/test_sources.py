@@ -1,0 +1,87 @@
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from corpuslens.operators.word_count import word_count
+from corpuslens.sources import files, storage, tables
+
+
+@pytest.fixture
+def folder(tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"Title: A\r\nca\xfft\rdog\n")
+    (tmp_path / "d.TXT").write_text("upper case suffix")
+    (tmp_path / "e.md").write_text("other suffix")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "f.txt").write_text("in a folder below")
+    return str(tmp_path)
+
+
+def test_books_of_a_folder(spark, folder):
+    found = files.read_books(spark, folder)
+    assert [tuple(r) for r in found.collect()] == [("a.txt", "Title: A\ncat\ndog\n")]
+    assert found.columns == ["file_name", "text"]
+
+
+def test_books_of_an_empty_folder(spark, tmp_path):
+    assert files.read_books(spark, str(tmp_path)).count() == 0
+
+
+@pytest.fixture
+def line_file(tmp_path):
+    path = tmp_path / "lines.txt"
+    path.write_text("\n".join(f"all words{'xyz'[i % 3]} line" for i in range(2000)))
+    return str(path)
+
+
+def test_split_cap_changes_the_tasks_but_not_the_counts(spark, line_file):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    counts, splits = [], []
+    try:
+        for size in (1 << 10, 1 << 13, 1 << 27):
+            files.cap_input_splits(spark, size)
+            lines = files.read_lines(spark, line_file)
+            splits.append(lines.rdd.getNumPartitions())
+            counts.append({tuple(r) for r in word_count(lines).collect()})
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert splits[0] > splits[1] >= splits[2]
+    assert counts[0] == counts[1] == counts[2]
+    assert ("all", 2000) in counts[0]
+
+
+def test_word_counts_as_sorted_lines(spark, line_file, tmp_path):
+    path = str(tmp_path / "out")
+    counts = word_count(files.read_lines(spark, line_file))
+    files.write_word_counts(counts, path)
+    written = files.read_lines(spark, path)
+    assert {r["value"] for r in written.collect()} == {
+        f"{r['word']}\t{r['n']}" for r in counts.collect()
+    }
+    for part in (tmp_path / "out").glob("part-*"):
+        lines = part.read_text().splitlines()
+        assert lines == sorted(lines)
+    with pytest.raises(AnalysisException):
+        files.write_word_counts(counts, path)
+    files.write_word_counts(counts.limit(1), path, mode="overwrite")
+    assert files.read_lines(spark, path).count() == 1
+
+
+def test_stored_rows_go_to_the_folder_the_session_names(spark):
+    kept = storage.stored(spark.range(5))
+    assert kept.count() == 5
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert all(name.startswith(f"file://{shared}/") for name in kept.inputFiles())
+
+
+def test_only_inputs_with_few_splits_are_spread(spark):
+    few = spark.range(0, 10, numPartitions=1)
+    many = spark.range(0, 10, numPartitions=64)
+    assert tables.spread(few, "id").rdd.getNumPartitions() == 8
+    assert tables.spread(many, "id") is many
+
+
+def test_clean_text(spark):
+    row = spark.range(1).select(files.clean_text(F.lit("a\r\nb\rc\n�d")).alias("t")).first()
+    assert row["t"] == "a\nb\nc\nd"
