@@ -13,7 +13,7 @@ SETTINGS = {
 
 
 def local_session(
-    cores: str = "*", memory: str = "16g", partitions: int = 8, settings: dict[str, str] = {}
+    cores: str = "*", memory: str = "16g", partitions: int = 8, settings: dict[str, str] | None = None
 ) -> SparkSession:
     """A session for tests and the bench; on a cluster the submitter sets these."""
     builder = (
@@ -23,7 +23,7 @@ def local_session(
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
-    for name, value in (SETTINGS | settings).items():
+    for name, value in (SETTINGS | (settings or {})).items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
