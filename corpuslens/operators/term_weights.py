@@ -72,13 +72,14 @@ def inverse_document_frequency(
 
 
 def term_tables(books: DataFrame, key: str = "file_name") -> tuple[DataFrame, DataFrame]:
-    """Term counts and their vocabulary, for weighting. Starts the job that counts.
+    """Term counts and their vocabulary, for weighting. Starts the jobs that count.
 
-    The counts are read several times, for the vocabulary and to join it. They are
-    written once, since reading them costs far less than tokenising the texts anew.
+    Both are read several times: the counts for the vocabulary and to join it, the
+    vocabulary to find its common words and to join them and the others. They are
+    written once, since reading them costs far less than counting anew.
     """
     counts = stored(term_counts(books, key))
-    return counts, inverse_document_frequency(books, counts, key)
+    return counts, stored(inverse_document_frequency(books, counts, key))
 
 
 def weighted(counts: DataFrame, vocabulary: DataFrame, key: str = "file_name") -> DataFrame:
