@@ -41,12 +41,14 @@ def sha256(text: Column) -> Column:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with the file and the row of each document. Rows that are in no file yet are
-    written to one."""
+    """``(document, file, row)``: all columns of ``docs`` as one, and where they are. Rows
+    that are in no file yet are written to one."""
     try:
         place = docs.metadataColumn("_metadata")
-        return docs.withColumns(
-            {"_file": place["file_path"], "_row": place["row_index"]}
+        return docs.select(
+            F.struct("*").alias("document"),
+            place["file_path"].alias("file"),
+            place["row_index"].alias("row"),
         )
     except AnalysisException:
         return located(stored(docs))
@@ -83,25 +85,18 @@ def deduplicate(
     spark = docs.sparkSession
     folder = folder or shared_folder(spark)
     landing, state = f"{folder}/landing", f"{folder}/state"
-    text = normalised(F.col("text"))
-    placed = located(docs.select("doc_id", "text"))
-    rows = placed.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        digest(text).alias("digest"),
-        F.col("_file").alias("file"),
-        F.col("_row").alias("row"),
+    contents = located(docs).select(
+        F.col("document.doc_id").cast("long").alias("doc_id"),
+        normalised(F.col("document.text")).alias("content"),
+        "file",
+        "row",
     )
+    rows = contents.select("doc_id", digest(F.col("content")).alias("digest"), "file", "row")
     rows.write.mode("append").parquet(landing)
     _into_state(landing, state, spark, rows.schema)
 
     landed = spark.read.schema(rows.schema).parquet(landing)
     groups = _groups(spark, state)
-    contents = placed.select(
-        F.col("_file").alias("file"),
-        F.col("_row").alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("content"),
-    )
     odd = stored(_differing(contents, groups, digest))
     return _decisions(landed, groups, odd)
 
@@ -164,11 +159,8 @@ def _decisions(landed: DataFrame, groups: DataFrame, odd: DataFrame) -> DataFram
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows that do not stay."""
-    placed = located(docs)
-    copies = deduplicate(docs).filter(~F.col("kept")).select(
-        F.col("file").alias("_file"), F.col("row").alias("_row")
-    )
-    return placed.join(copies, ["_file", "_row"], "left_anti").select(*docs.columns)
+    copies = deduplicate(docs).filter(~F.col("kept")).select("file", "row")
+    return located(docs).join(copies, ["file", "row"], "left_anti").select("document.*")
 
 
 def query(spark, directory: str) -> DataFrame:
