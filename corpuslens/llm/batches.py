@@ -21,12 +21,13 @@ def batch_count(docs: DataFrame, batch_bytes: int) -> int:
     return max(1, min(most, -(-volume // batch_bytes)))
 
 
-def in_batches(docs: DataFrame, n_batches: int) -> DataFrame:
-    """``(batch, doc_id, text_hash, text)``: batches by a hash of the whole row, so that
+def in_batches(docs: DataFrame, n_batches: int, *others: str) -> DataFrame:
+    """``(batch, doc_id, text_hash, text, *others)``: batches by a hash of the whole row, so that
     neither a null nor a repeated doc_id makes a large one."""
     return docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)).cast("int").alias("batch"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("text_hash"),
         "text",
+        *others,
     )

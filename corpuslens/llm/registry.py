@@ -4,15 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslens.llm import chat_format, ngram_join, stream_dedup, url_filter
+from corpuslens.llm import bpe, chat_format, context_tree, ngram_join, stream_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": chat_format.query,
+        "op2_context_tree": context_tree.query,
         "op3_ngram_join": ngram_join.query,
         "op5_stream_dedup": stream_dedup.query,
         "op6_url_filter": url_filter.query,
+        "op8_bpe": bpe.query,
     }
 
 
