@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslens.llm import bpe, chat_format, context_tree, language_id, ngram_join, packing, stream_dedup, url_filter
+from corpuslens.llm import bpe, chat_format, context_tree, credentials, language_id, ngram_join, packing, stream_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_url_filter": url_filter.query,
         "op7_language_id": language_id.query,
         "op8_bpe": bpe.query,
+        "op9_credentials": credentials.query,
         "op10_packing": packing.query,
     }
 
