@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslens.llm import bpe, chat_format, context_tree, credentials, language_id, ngram_join, packing, stream_dedup, url_filter
+from corpuslens.llm import bpe, chat_format, context_tree, credentials, language_id, line_quality, ngram_join, packing, stream_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -12,6 +12,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_chat_format": chat_format.query,
         "op2_context_tree": context_tree.query,
         "op3_ngram_join": ngram_join.query,
+        "op4_line_quality": line_quality.query,
         "op5_stream_dedup": stream_dedup.query,
         "op6_url_filter": url_filter.query,
         "op7_language_id": language_id.query,
