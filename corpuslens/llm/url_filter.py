@@ -151,9 +151,9 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """``(page_id, host, path, rule, verdict)`` for ``pages`` (page_id, url).
 
     ``rules`` has ``host, path, action`` (allow or block). A rule given with both actions
-    blocks. The rules' path lengths, a handful of numbers, come to the driver.
+    blocks; one without a host fits nothing. The rules' path lengths, a handful of numbers, come to the driver.
     """
-    rules = rules.select(
+    rules = rules.filter("host != ''").select(
         F.concat("host", "path").alias("key"), F.length("path").alias("n"), "action"
     ).filter(F.col("key").isNotNull())
     lengths = [row["n"] for row in rules.select("n").distinct().orderBy("n").collect()]

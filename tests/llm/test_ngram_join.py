@@ -1,0 +1,129 @@
+import random
+
+import numpy as np
+import pytest
+
+from corpuslens.llm import ngram_join as J
+from corpuslens.llm import ngram_tasks
+from corpuslens.llm.batches import batch_count
+from corpuslens.llm.components import components
+from tests.llm.cases import documents, lowered, no_documents, odd_documents, prose, words
+
+
+def shingles(text, size=5):
+    w = words(lowered(text))
+    if len(w) < size:
+        return frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i : i + size]) for i in range(len(w) - size + 1))
+
+
+def brute(rows, percent=80):
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links = [set() for _ in rows]
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            both = len(a & b)
+            if both and 100 * both >= percent * (len(a) + len(b) - both):
+                root[find(i)] = find(j)
+                if a != b:
+                    links[i].add(b)
+                    links[j].add(a)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        known = [x for x in (least.get(find(i)), doc) if x is not None]
+        least[find(i)] = min(known, default=None)
+    return sorted(
+        ((d, len(sets[i]), least[find(i)] if sets[i] else d, len(links[i])) for i, (d, _) in enumerate(rows)), key=str
+    )
+
+
+def found(frame):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in frame.collect()), key=str)
+
+
+def near_copies(rng, text, n, most):
+    out = []
+    for _ in range(n):
+        w = text.split()
+        for _ in range(rng.randrange(most)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+def corpus(seed=5):
+    rng = random.Random(seed)
+    shared = prose(99, 60)
+    texts = [prose(i, rng.randrange(5, 200), 5000) for i in range(60)]
+    texts += [f"{prose(i + 500, 120, 5000)} {shared}" for i in range(40)]
+    for i, most in ((0, 5), (1, 12), (2, 25)):
+        texts += near_copies(rng, prose(1000 + i, 150, 5000), 40, most)
+    texts += ["a b c d", "a b c d", "A b c D e", "x"] + [texts[0]] * 5
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("dense", [J.DENSE, 4, 1])
+def test_against_brute_force(spark, monkeypatch, dense):
+    monkeypatch.setattr(J, "BLOCK_SETS", 16)
+    monkeypatch.setattr(J, "BATCH_BYTES", 20_000)
+    rows = corpus()
+    assert found(J.join(documents(spark, rows), dense=dense)) == brute(rows)
+
+
+def test_odd_cases(spark):
+    docs = odd_documents(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert found(J.join(docs)) == brute(rows)
+    assert J.join(no_documents(spark)).count() == 0
+
+
+def test_one_of_each_group(spark):
+    docs = odd_documents(spark)
+    kept = J.one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    rows = kept.select("doc_id", "text").collect()
+    sets = [shingles(r.text) for r in rows if words(r.text)]
+    assert len(sets) == len(set(sets))
+    assert {r.doc_id for r in rows} >= {3, 4, 7, 8, 9, 10}
+    assert sum(r.text == "A few words" for r in rows) == 1
+    assert J.one_of_each_group(no_documents(spark)).count() == 0
+
+
+def test_orders_are_total_and_prefixes_long_enough():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        universe = rng.integers(0, 2**63, 60).astype(np.uint64)
+        counts = rng.integers(1, 50, 60)
+        a, b = (np.sort(rng.choice(60, rng.integers(20, 60), replace=False)) for _ in "ab")
+        both = np.intersect1d(a, b)
+        if 100 * len(both) < 80 * (len(a) + len(b) - len(both)):
+            continue
+        for x, y in zip(ngram_tasks.orders(universe[a], counts[a]), ngram_tasks.orders(universe[b], counts[b]), strict=True):
+            first = [set(s[o[: ngram_tasks.prefix_length(len(s), 80)]]) for s, o in ((a, x), (b, y))]
+            assert first[0] & first[1]
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
+    assert {(r.node, r.root) for r in components(links).collect()} == {(i, 0) for i in range(201)} | {
+        (500, 500),
+        (501, 500),
+    }
+    assert components(links.limit(0)).count() == 0
+
+
+def test_batches_do_not_multiply_rows_at_scale(spark):
+    docs = spark.range(1).selectExpr("id AS doc_id", "repeat('x', 6000000) AS text")
+    assert batch_count(docs, 1) == 62  # not six million
+    assert batch_count(docs, 4 << 20) == 2
+    assert batch_count(docs.limit(0), 1) == 1
