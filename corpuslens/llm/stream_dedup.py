@@ -28,8 +28,13 @@ from pyspark.sql import functions as F
 from corpuslens.llm.stored import shared_folder, stored
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # A store per partition: without this each sets tens of MB of disk aside for its log.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -60,17 +65,16 @@ def _into_state(landing: str, state: str, spark, schema) -> None:
     seen = rows.groupBy("digest").agg(
         F.max(F.struct("doc_id", "file", "row")).alias("newest"), F.count("*").alias("n")
     )
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         seen.writeStream.outputMode("update").format("noop").option(
             "checkpointLocation", state
         ).trigger(availableNow=True).start().awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def deduplicate(
