@@ -45,18 +45,23 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``(document, file, row)``: all columns of ``docs`` as one, and where they are. Rows
-    that are in no file yet are written to one."""
+def on_file(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows are read from files, else written to some."""
     try:
-        place = docs.metadataColumn("_metadata")
-        return docs.select(
-            F.struct("*").alias("document"),
-            place["file_path"].alias("file"),
-            place["row_index"].alias("row"),
-        )
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
     except AnalysisException:
-        return located(stored(docs))
+        return stored(docs)
+    return docs
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """``(document, file, row)``: all columns of ``docs`` as one, and where they are."""
+    place = docs.metadataColumn("_metadata")
+    return docs.select(
+        F.struct("*").alias("document"),
+        place["file_path"].alias("file"),
+        place["row_index"].alias("row"),
+    )
 
 
 def _into_state(landing: str, state: str, spark, schema) -> None:
@@ -89,7 +94,7 @@ def deduplicate(
     spark = docs.sparkSession
     folder = folder or shared_folder(spark)
     landing, state = f"{folder}/landing", f"{folder}/state"
-    contents = located(docs).select(
+    contents = located(on_file(docs)).select(
         F.col("document.doc_id").cast("long").alias("doc_id"),
         normalised(F.col("document.text")).alias("content"),
         "file",
@@ -163,6 +168,7 @@ def _decisions(landed: DataFrame, groups: DataFrame, odd: DataFrame) -> DataFram
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows that do not stay."""
+    docs = on_file(docs)
     copies = deduplicate(docs).filter(~F.col("kept")).select("file", "row")
     return located(docs).join(copies, ["file", "row"], "left_anti").select("document.*")
 
