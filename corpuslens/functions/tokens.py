@@ -67,6 +67,17 @@ def trim_apostrophes(word: Column) -> Column:
     return F.btrim(word, F.lit("'"))
 
 
+def settled(rows: DataFrame) -> DataFrame:
+    """``rows``, with every column computed before any filter that follows.
+
+    Spark pushes a filter below the projection that computes its column and copies the
+    expression into it, so that every text is searched twice. It does not push below the
+    one-element array that is unpacked here.
+    """
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    return rows.select(F.inline_outer(F.array(F.struct(*columns))))
+
+
 def word_rows(rows: DataFrame, words: str) -> DataFrame:
     """One row per element of the array column ``words``, named ``word``.
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions import headers as H
+from corpuslens.functions.tokens import settled
 
 
 def metadata(books: DataFrame, key: str = "file_name") -> DataFrame:
@@ -20,7 +21,8 @@ def metadata(books: DataFrame, key: str = "file_name") -> DataFrame:
 
 def books_per_year(meta: DataFrame) -> DataFrame:
     return (
-        meta.filter(F.col("release_year").isNotNull())
+        settled(meta.select("release_year"))
+        .filter(F.col("release_year").isNotNull())
         .groupBy("release_year")
         .agg(F.count("*").alias("num_books"))
     )
@@ -28,7 +30,8 @@ def books_per_year(meta: DataFrame) -> DataFrame:
 
 def language_counts(meta: DataFrame) -> DataFrame:
     return (
-        meta.filter(F.col("language").isNotNull())
+        settled(meta.select("language"))
+        .filter(F.col("language").isNotNull())
         .groupBy("language")
         .agg(F.count("*").alias("num_books"))
     )
@@ -62,3 +65,32 @@ def metadata_coverage(meta: DataFrame) -> DataFrame:
             for name in fields
         ],
     )
+
+
+def metadata_quality(meta: DataFrame, key: str = "file_name") -> DataFrame:
+    """Per book: which fields are missing, how many, and the release date where its text is
+    a whole date.
+
+    A date is a month by name or three letters, a day and a year (``May 2, 1999``), or a
+    month and a year, which gives the first of the month; other texts give null.
+    """
+    month_day = F.regexp_extract("release_date", r"^([A-Z][a-z]+ \d{1,2}, ?\d{4})$", 1)
+    month_only = F.regexp_extract("release_date", r"^([A-Z][a-z]+),? (\d{4})$", 1)
+    year = F.regexp_extract("release_date", r"^([A-Z][a-z]+),? (\d{4})$", 2)
+    whole = F.regexp_replace(month_day, ", ?", " ")
+    first = F.concat(month_only, F.lit(" 1 "), year)
+    day = F.coalesce(
+        *[
+            F.try_to_timestamp(text, F.lit(form)).cast("date")
+            for text in (whole, first)
+            for form in ("MMMM d yyyy", "MMM d yyyy")
+        ]
+    )
+    fields = ("title", "release_date", "language", "encoding")
+    missing = {name: F.col(name).isNull() for name in fields}
+    return meta.select(
+        key,
+        *[flag.alias(f"no_{name}") for name, flag in missing.items()],
+        sum(flag.cast("int") for flag in missing.values()).alias("n_missing"),
+        day.alias("release_day"),
+    )

@@ -1,16 +1,14 @@
 """Tokens, term counts, TF, IDF and TF-IDF, in long form: one row per document and word.
 
-Documents are shuffled once, by key, while they are still text: that is smaller
-than its (document, word) pairs, evens out the work, and all grouping by document
-that follows needs no further shuffle.
+A document is one row, so its terms are counted within the row, without a shuffle.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.functions.tokens import content_words, strip_boilerplate, word_rows
+from corpuslens.functions.tokens import content_words, settled, strip_boilerplate, word_rows
+from corpuslens.operators.kept import Kept
 from corpuslens.operators.lookup import join_lookup
-from corpuslens.sources.storage import stored
 
 
 def _words(books: DataFrame, key: str) -> DataFrame:
@@ -34,17 +32,35 @@ def token_count(books: DataFrame, key: str = "file_name") -> DataFrame:
 def tokens_per_document(books: DataFrame, key: str = "file_name") -> DataFrame:
     """``(key, tokens)`` of the documents that have tokens."""
     sizes = _words(books, key).select(key, F.size("words").cast("bigint").alias("tokens"))
-    return sizes.filter(F.col("tokens") > 0)
+    return settled(sizes).filter(F.col("tokens") > 0)
+
+
+def _runs(words: Column) -> Column:
+    """``(word, word_count)`` for each run of equal words in a sorted array."""
+    n = F.size(words)
+    places = F.sequence(F.lit(0), n - 1)
+    starts = F.filter(places, lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
+    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(n))
+    runs = F.zip_with(
+        starts,
+        ends,
+        lambda start, end: F.struct(
+            F.get(words, start).alias("word"), (end - start).cast("bigint").alias("word_count")
+        ),
+    )
+    return F.when(n > 0, runs)
 
 
 def term_counts(books: DataFrame, key: str = "file_name") -> DataFrame:
     """``(key, word, word_count, total_words)``; keys are unique in ``books``."""
-    words = _words(books.select(key, "text").repartition(key), key)
+    words = settled(
+        _words(books, key).select(key, F.sort_array(F.coalesce("words", F.array())).alias("words"))
+    )
+    total = F.size("words").cast("bigint").alias("total_words")
     return (
-        word_rows(words.withColumn("total_words", F.size("words").cast("bigint")), "words")
-        .groupBy(key, "total_words", "word")
-        .agg(F.count("*").alias("word_count"))
-        .select(key, "word", "word_count", "total_words")
+        words.select(key, total, F.explode_outer(_runs(F.col("words"))).alias("run"))
+        .filter(F.col("run").isNotNull())
+        .select(key, "run.word", "run.word_count", "total_words")
     )
 
 
@@ -71,32 +87,46 @@ def inverse_document_frequency(
     )
 
 
-def term_tables(books: DataFrame, key: str = "file_name") -> tuple[DataFrame, DataFrame]:
-    """Term counts and their vocabulary, for weighting. Starts the jobs that count.
+class Terms(Kept):
+    """Term counts and vocabulary of a corpus, for any number of reports.
 
-    Both are read several times: the counts for the vocabulary and to join it, the
-    vocabulary to find its common words and to join them and the others. They are
-    written once, since reading them costs far less than counting anew.
+    ``counts`` is ``(key, word, word_count, total_words)``; ``vocabulary`` is ``(word,
+    doc_freq, idf, word_id)``. ``release`` when the reports are done. Starts no job.
     """
-    counts = stored(term_counts(books, key))
-    return counts, stored(inverse_document_frequency(books, counts, key))
+
+    def __init__(self, books: DataFrame, key: str) -> None:
+        super().__init__()
+        self.books, self.key = books, key
+        self.counts = self.keep(term_counts(books, key))
+        # Sorted, so that a part that is computed again gives each word the same number.
+        self.vocabulary = self.keep(
+            inverse_document_frequency(books, self.counts, key)
+            .sortWithinPartitions("word")
+            .withColumn("word_id", F.monotonically_increasing_id())
+        )
+
+
+def term_tables(books: DataFrame | Terms, key: str = "file_name") -> Terms:
+    """The handle that the reports below accept in place of ``books``."""
+    return books if isinstance(books, Terms) else Terms(books, key)
 
 
-def weighted(counts: DataFrame, vocabulary: DataFrame, key: str = "file_name") -> DataFrame:
+def weighted(terms: Terms, vocabulary: DataFrame | None = None) -> DataFrame:
     """``(key, tf, tfidf)`` and the columns of the vocabulary."""
+    vocabulary = terms.vocabulary if vocabulary is None else vocabulary
     return join_lookup(
-        term_frequency(counts).select(key, "word", "tf"),
+        term_frequency(terms.counts).select(terms.key, "word", "tf"),
         vocabulary,
         on="word",
         frequency="doc_freq",
         key_bytes=F.octet_length("word"),
-    ).select(key, "tf", (F.col("tf") * F.col("idf")).alias("tfidf"), *vocabulary.columns)
+    ).select(terms.key, "tf", (F.col("tf") * F.col("idf")).alias("tfidf"), *vocabulary.columns)
 
 
-def tfidf(books: DataFrame, key: str = "file_name") -> DataFrame:
+def tfidf(books: DataFrame | Terms, key: str = "file_name") -> DataFrame:
     """``(key, word, tf, idf, tfidf)``."""
-    counts, vocabulary = term_tables(books, key)
-    return weighted(counts, vocabulary, key).select(key, "word", "tf", "idf", "tfidf")
+    terms = term_tables(books, key)
+    return weighted(terms).select(terms.key, "word", "tf", "idf", "tfidf")
 
 
 def document_norms(weights: DataFrame, key: str = "file_name") -> DataFrame:
@@ -119,7 +149,7 @@ def top_by(rows: DataFrame, value: str, k: int, *ties: str, digits: int = 6) ->
 
 def idf_extremes(vocabulary: DataFrame, k: int = 10, digits: int = 6) -> DataFrame:
     """The k rarest and the k most widespread words."""
-    words = vocabulary.withColumn("idf", F.round("idf", digits))
+    words = vocabulary.select("word", "doc_freq", F.round("idf", digits).alias("idf"))
     highest = words.orderBy(F.desc("idf"), "word").limit(k).withColumn("extreme", F.lit("highest"))
     lowest = words.orderBy("idf", "word").limit(k).withColumn("extreme", F.lit("lowest"))
     return highest.unionByName(lowest)

@@ -89,6 +89,14 @@ EDGES = """edges AS (
     ON a.author <> b.author
    AND b.release_year - a.release_year > 0 AND b.release_year - a.release_year <= 5
 )"""
+WINDOWED = """years AS (SELECT DISTINCT author, release_year FROM author_years),
+windows(x) AS (VALUES (1), (2), (5), (10)),
+windowed AS (
+  SELECT DISTINCT x, a.author AS author_a, b.author AS author_b
+  FROM windows JOIN years a ON true
+  JOIN years b ON a.author <> b.author AND b.release_year > a.release_year
+   AND b.release_year <= a.release_year + x
+)"""
 DEGREES = """outs AS (SELECT author_a AS author, count(*) AS out_degree FROM edges GROUP BY 1),
 ins AS (SELECT author_b AS author, count(*) AS in_degree FROM edges GROUP BY 1),
 degrees AS (
@@ -175,7 +183,7 @@ def oracle_sql() -> dict[str, str]:
         }.items()
     )
     return {
-        "load_corpus": r"""SELECT doc_id || '.txt' AS file_name,
+        "documents_as_books": r"""SELECT doc_id || '.txt' AS file_name,
             replace(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(65533), '') AS text
             FROM documents""",
         "wordcount_sink": _with(WORD_COUNT) + "SELECT word || chr(9) || n AS value FROM word_counts",
@@ -193,6 +201,13 @@ def oracle_sql() -> dict[str, str]:
         "avg_title_length": _META
         + "SELECT round(avg(length(title)), 6) AS avg_title_length FROM meta",
         "metadata_coverage": _META + f"SELECT count(*) AS total_books, {coverage} FROM meta",
+        "metadata_quality": _META
+        + """SELECT doc_id, title IS NULL AS no_title, release_date IS NULL AS no_release_date,
+             language IS NULL AS no_language, encoding IS NULL AS no_encoding,
+             (title IS NULL)::INT + (release_date IS NULL)::INT + (language IS NULL)::INT
+               + (encoding IS NULL)::INT AS n_missing,
+             try_strptime(release_date, ['%B %d, %Y', '%b %d, %Y'])::DATE AS release_day
+             FROM meta""",
         "strip_boilerplate": _with(BOOKS, _stripped("books")) + "SELECT * FROM stripped",
         "tokenize": _with(*OF_DOCUMENTS) + "SELECT * FROM tokens",
         "tokenize_books": _with(BOOKS, _stripped("books"), TOKENS) + "SELECT * FROM tokens",
@@ -228,6 +243,9 @@ def oracle_sql() -> dict[str, str]:
         "top_pairs": _PAIRS
         + """SELECT book_a, book_b, round(cosine_similarity, 6) AS cosine_similarity
              FROM pairs ORDER BY 3 DESC, 1, 2 LIMIT 20""",
+        "pairs_above": _PAIRS
+        + """SELECT book_a, book_b, round(cosine_similarity, 6) AS cosine_similarity
+             FROM pairs WHERE round(cosine_similarity, 6) >= 0.6""",
         "top_similar": _PAIRS
         + """SELECT CASE WHEN book_a = 10 THEN book_b ELSE book_a END AS similar,
              round(cosine_similarity, 6) AS cosine
@@ -244,11 +262,24 @@ def oracle_sql() -> dict[str, str]:
         "top_in_degree": NETWORK + "SELECT * FROM ins ORDER BY in_degree DESC, author LIMIT 5",
         "top_total_degree": NETWORK
         + "SELECT * FROM degrees ORDER BY total_degree DESC, author LIMIT 20",
+        "window_sensitivity": _with(BOOKS, AUTHORS, AUTHOR_YEARS, WINDOWED)
+        + """SELECT x AS window_years, n AS authors, count(author_a) AS edges,
+             round(CASE WHEN n > 1 THEN count(author_a) / (n * (n - 1)) ELSE 0 END, 6) AS density,
+             coalesce(round(count(author_a) / nullif(count(DISTINCT author_b), 0), 6), 0) AS avg_in_degree,
+             coalesce(round(count(author_a) / nullif(count(DISTINCT author_a), 0), 6), 0) AS avg_out_degree
+             FROM windows LEFT JOIN windowed USING (x),
+                  (SELECT count(DISTINCT author) AS n FROM author_years) GROUP BY x, n""",
+        "edges_added": _with(BOOKS, AUTHORS, AUTHOR_YEARS, EDGES)
+        + """SELECT * FROM edges EXCEPT
+             SELECT DISTINCT a.author, b.author FROM author_years a JOIN author_years b
+               ON a.author <> b.author AND b.release_year > a.release_year
+              AND b.release_year <= a.release_year + 5
+             WHERE a.doc_id % 10 <> 9 AND b.doc_id % 10 <> 9""",
         "network_stats": NETWORK
         + """SELECT 5 AS window_years, n AS authors, m AS edges,
              round(CASE WHEN n > 1 THEN m / (n * (n - 1)) ELSE 0 END, 6) AS density,
-             round((SELECT avg(in_degree) FROM ins), 6) AS avg_in_degree,
-             round((SELECT avg(out_degree) FROM outs), 6) AS avg_out_degree
+             coalesce(round((SELECT avg(in_degree) FROM ins), 6), 0) AS avg_in_degree,
+             coalesce(round((SELECT avg(out_degree) FROM outs), 6), 0) AS avg_out_degree
              FROM (SELECT (SELECT count(DISTINCT author) FROM author_years) AS n,
                           (SELECT count(*) FROM edges) AS m)""",
     }

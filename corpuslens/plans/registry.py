@@ -16,7 +16,6 @@ from corpuslens.operators import similarity as S
 from corpuslens.operators import term_weights as T
 from corpuslens.operators.word_count import word_count
 from corpuslens.sources import files, tables
-from corpuslens.sources.storage import shared_folder
 
 KEY = "doc_id"
 TARGET = 10
@@ -57,23 +56,33 @@ def _vocabulary(docs: DataFrame) -> DataFrame:
     return T.inverse_document_frequency(docs, _counts(docs), KEY)
 
 
-def _tfidf(docs: DataFrame) -> DataFrame:
-    return T.tfidf(docs, KEY)
+def _terms(query: Callable[[T.Terms], DataFrame]) -> Query:
+    return _documents(lambda docs: query(T.term_tables(docs, KEY)))
 
 
 def _word_count_through_files(spark: SparkSession, directory: str) -> DataFrame:
-    """Texts to line files, word count over the lines, counts to files, read back."""
-    folder = shared_folder(spark)
-    tables.documents(spark, directory).select("text").write.text(f"{folder}/lines")
+    """Texts to line files, word count over the lines, counts to files, read back.
+
+    The files are in the session's warehouse and replaced by each run.
+    """
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/corpuslens_word_counts"
+    lines = tables.documents(spark, directory).select("text")
+    lines.write.mode("overwrite").text(f"{folder}/lines")
     counts = word_count(files.read_lines(spark, f"{folder}/lines"))
-    files.write_word_counts(counts, f"{folder}/counts")
+    files.write_word_counts(counts, f"{folder}/counts", mode="overwrite")
     return files.read_lines(spark, f"{folder}/counts")
 
 
+def _edges_of_the_last_tenth(dated: DataFrame) -> DataFrame:
+    """What the books whose number ends in 9 add to the network of all others."""
+    added = F.col(KEY) % 10 == 9
+    return I.edges_added(dated.filter(~added), dated.filter(added), WINDOW)
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources and sinks
-        "load_corpus": tables.documents_as_books,
+        "documents_as_books": tables.documents_as_books,
         "wordcount_sink": _word_count_through_files,
         # word count
         "word_count": _documents(lambda d: word_count(d, "text")),
@@ -90,6 +99,7 @@ def queries() -> dict[str, Query]:
                 M.metadata_coverage(m), "pct_title", "pct_date", "pct_language", "pct_encoding"
             )
         ),
+        "metadata_quality": _metadata(lambda m: M.metadata_quality(m, KEY)),
         # tokens
         "strip_boilerplate": _books(text_functions.strip_boilerplate),
         "tokenize": _documents(lambda d: T.tokens(d, KEY)),
@@ -106,18 +116,17 @@ def queries() -> dict[str, Query]:
         "doc_frequency": _documents(lambda d: T.document_frequency(_counts(d), KEY)),
         "idf": _documents(lambda d: rounded(_vocabulary(d), "idf")),
         "idf_extremes": _documents(lambda d: T.idf_extremes(_vocabulary(d), 10)),
-        "tfidf": _documents(lambda d: rounded(_tfidf(d), "tf", "idf", "tfidf")),
-        "top_tfidf": _documents(
-            lambda d: rounded(T.top_by(_tfidf(d), "tfidf", 20, KEY, "word"), "tf", "idf")
+        "tfidf": _terms(lambda t: rounded(T.tfidf(t), "tf", "idf", "tfidf")),
+        "top_tfidf": _terms(
+            lambda t: rounded(T.top_by(T.tfidf(t), "tfidf", 20, KEY, "word"), "tf", "idf")
         ),
-        "doc_norms": _documents(lambda d: rounded(T.document_norms(_tfidf(d), KEY), "norm")),
+        "doc_norms": _terms(lambda t: rounded(T.document_norms(T.tfidf(t), KEY), "norm")),
         # similarity
-        "cosine_pairs": _documents(
-            lambda d: rounded(S.cosine_pairs(d, KEY), "cosine_similarity")
-        ),
-        "similarity_pair_count": _documents(lambda d: S.pair_count(d, KEY)),
-        "top_pairs": _documents(lambda d: S.top_pairs(d, KEY, 20)),
-        "top_similar": _documents(lambda d: S.top_similar(d, TARGET, KEY, 5)),
+        "cosine_pairs": _terms(lambda t: rounded(S.cosine_pairs(t), "cosine_similarity")),
+        "similarity_pair_count": _terms(S.pair_count),
+        "top_pairs": _terms(lambda t: S.top_pairs(t, k=20)),
+        "pairs_above": _terms(lambda t: S.pairs_above(t, 0.6)),
+        "top_similar": _terms(lambda t: S.top_similar(t, TARGET, k=5)),
         # influence network
         "author_extract": _books(lambda b: I.authors_and_years(b, KEY)),
         "author_years": _dated(lambda a: a),
@@ -138,4 +147,13 @@ def queries() -> dict[str, Query]:
                 I.network_statistics(a, WINDOW), "density", "avg_in_degree", "avg_out_degree"
             )
         ),
+        "window_sensitivity": _dated(
+            lambda a: rounded(
+                I.window_sensitivity(a, [1, 2, 5, 10]),
+                "density",
+                "avg_in_degree",
+                "avg_out_degree",
+            )
+        ),
+        "edges_added": _dated(_edges_of_the_last_tenth),
     }

@@ -2,13 +2,13 @@
 
 from pyspark.sql import SparkSession
 
+from corpuslens.sources.tables import PARTITIONS
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.files.ignoreCorruptFiles": "true",
-    "spark.sql.files.ignoreMissingFiles": "true",
 }
 
 
@@ -22,6 +22,7 @@ def local_session(
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config(PARTITIONS, str(partitions))
     )
     for name, value in (SETTINGS | (settings or {})).items():
         builder = builder.config(name, value)

@@ -13,10 +13,11 @@ def clean_text(text: Column) -> Column:
 def read_books(spark: SparkSession, directory: str) -> DataFrame:
     """``(file_name, text)``: one row per ``*.txt`` file directly in ``directory``.
 
-    Executors read the files; unreadable ones are skipped. Names starting with
-    ``_`` or ``.`` are hidden from Spark's file index and are not read.
+    Executors read the files; unreadable ones are skipped, here and in no other read. Names
+    starting with ``_`` or ``.`` are hidden from Spark's file index and are not read.
     """
-    books = spark.read.text(directory, wholetext=True, pathGlobFilter="*.txt")
+    skipping = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+    books = skipping.text(directory, wholetext=True, pathGlobFilter="*.txt")
     return books.select(
         F.col("_metadata.file_name").alias("file_name"),
         clean_text(F.col("value")).alias("text"),

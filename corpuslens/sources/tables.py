@@ -5,23 +5,26 @@ from pyspark.sql import functions as F
 
 from corpuslens.sources.files import clean_text
 
+PARTITIONS = "spark.corpuslens.input.partitions"
+
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def spread(rows: DataFrame, by: str) -> DataFrame:
-    """Even out input that has fewer splits than there are cores; else as it is.
+def spread(rows: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows out evenly to that many partitions; without a number, leave them as stored.
 
-    Large tables have more splits than cores and are never shuffled for this.
+    For tables stored in fewer row groups than there are cores. The number is the caller's,
+    or the session's in ``PARTITIONS``; the data are not looked at. Large tables need none.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, by) if rows.rdd.getNumPartitions() < cores else rows
+    partitions = partitions or int(rows.sparkSession.conf.get(PARTITIONS, "0"))
+    return rows.repartition(partitions) if partitions else rows
 
 
 def documents(spark: SparkSession, directory: str) -> DataFrame:
     """``(doc_id, text)``: one row per document, other columns stay unread."""
-    return spread(read_table(spark, directory, "documents").select("doc_id", "text"), "doc_id")
+    return spread(read_table(spark, directory, "documents").select("doc_id", "text"))
 
 
 def documents_as_books(spark: SparkSession, directory: str) -> DataFrame:

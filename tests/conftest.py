@@ -10,8 +10,12 @@ from corpuslens.plans.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    shared = str(tmp_path_factory.mktemp("shared"))
-    session = local_session("8", "8g", 4, {"spark.checkpoint.dir": shared})
+    settings = {
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.ui.showConsoleProgress": "false",
+    }
+    session = local_session("8", "8g", 4, settings)
     yield session
     session.stop()
 
@@ -46,4 +50,5 @@ def small(monkeypatch, spark):
     monkeypatch.setattr(similarity, "SMALL_GROUP", 3)
     monkeypatch.setattr(similarity, "BIN_DOCUMENTS", 5)
     monkeypatch.setattr(influence, "GROUP_SLICE", 2)
+    monkeypatch.setattr(influence, "SALT_SETS", 2)
     monkeypatch.setattr(lookup.join_lookup, "__defaults__", (6,))

@@ -138,3 +138,27 @@ def test_summaries_of_nothing(books):
     coverage = metadata_coverage(meta).first()
     assert coverage["total_books"] == 0 and coverage["pct_title"] is None
     assert top_languages(meta).collect() == []
+
+
+def test_metadata_quality(spark):
+    from corpuslens.operators import metadata as M
+
+    rows = [
+        ("a", "T", "May 2, 1999", "English", "ASCII", 1999),
+        ("b", None, "Feb 28, 2001", None, "ASCII", 2001),
+        ("c", None, "October, 2003", None, None, 2003),
+        ("d", "T", "soon", "English", None, None),
+        ("e", "T", None, "English", "ASCII", None),
+        ("f", "T", "February 30, 2001", "English", "ASCII", 2001),
+    ]
+    schema = "file_name string, title string, release_date string, language string, encoding string, release_year int"
+    found = {r["file_name"]: r for r in M.metadata_quality(spark.createDataFrame(rows, schema)).collect()}
+    assert {k: (r["n_missing"], str(r["release_day"])) for k, r in found.items()} == {
+        "a": (0, "1999-05-02"),
+        "b": (2, "2001-02-28"),
+        "c": (3, "2003-10-01"),
+        "d": (1, "None"),
+        "e": (1, "None"),
+        "f": (0, "None"),
+    }
+    assert found["c"]["no_title"] and found["c"]["no_language"] and not found["c"]["no_release_date"]

@@ -1,9 +1,11 @@
+import gzip
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from corpuslens.operators.word_count import word_count
-from corpuslens.sources import files, storage, tables
+from corpuslens.sources import files, tables
 
 
 @pytest.fixture
@@ -68,18 +70,40 @@ def test_word_counts_as_sorted_lines(spark, line_file, tmp_path):
     assert files.read_lines(spark, path).count() == 1
 
 
-def test_stored_rows_go_to_the_folder_the_session_names(spark):
-    kept = storage.stored(spark.range(5))
-    assert kept.count() == 5
-    shared = spark.conf.get("spark.checkpoint.dir")
-    assert all(name.startswith(f"file://{shared}/") for name in kept.inputFiles())
-
-
-def test_only_inputs_with_few_splits_are_spread(spark):
-    few = spark.range(0, 10, numPartitions=1)
-    many = spark.range(0, 10, numPartitions=64)
-    assert tables.spread(few, "id").rdd.getNumPartitions() == 8
-    assert tables.spread(many, "id") is many
+def test_rows_are_dealt_out_only_if_a_number_is_given(spark):
+    rows = spark.range(0, 10, numPartitions=3)
+    assert tables.spread(rows, 7).rdd.getNumPartitions() == 7
+    before = spark.conf.get(tables.PARTITIONS)
+    spark.conf.unset(tables.PARTITIONS)
+    try:
+        assert tables.spread(rows) is rows
+    finally:
+        spark.conf.set(tables.PARTITIONS, before)
+
+
+def test_a_broken_part_of_a_table_is_an_error(spark, tmp_path):
+    path = tmp_path / "documents.parquet"
+    spark.range(0, 4000, numPartitions=4).selectExpr("id AS doc_id", "'t' AS text").write.parquet(str(path))
+    part = sorted(path.glob("part-*"))[1]
+    whole = part.read_bytes()
+    part.write_bytes(whole[:200] + b"x" * 50 + whole[250:])
+    (path / f".{part.name}.crc").unlink()
+    with pytest.raises(Exception, match="(?i)parquet|corrupt|read|decod"):
+        tables.documents(spark, str(tmp_path)).select(F.sum("doc_id"), F.max("text")).collect()
+
+
+def test_an_unreadable_book_is_skipped_and_no_other(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"b{i}.txt").write_text(f"book {i}\n")
+    broken = gzip.compress(b"a broken book\n" * 1000)
+    (tmp_path / "bad.gz.txt").write_bytes(b"plain text that only looks packed")
+    (tmp_path / "broken.txt").write_bytes(broken[: len(broken) // 2])
+    books = files.read_books(spark, str(tmp_path))
+    found = {r["file_name"] for r in books.collect()}
+    assert {f"b{i}.txt" for i in range(6)} <= found
+    vanishing = files.read_books(spark, str(tmp_path))
+    (tmp_path / "b3.txt").unlink()
+    assert found - {r["file_name"] for r in vanishing.collect()} == {"b3.txt"}
 
 
 def test_clean_text(spark):

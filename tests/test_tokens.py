@@ -81,3 +81,47 @@ def test_word_count_does_not_depend_on_partitions(spark):
         F.concat_ws(" ", F.lit("all"), (F.col("id") % 7).cast("string"), F.hex("id")).alias("value")
     )
     assert counts_of(lines.repartition(1)) == counts_of(lines.repartition(13))
+
+
+@pytest.mark.parametrize(
+    "word",
+    ["the", "and", "ours", "themselves", "would", "ought", "dare", "against", "further", "once",
+     "nor", "too", "very", "just", "don", "now", "having", "because", "until", "herself"],
+)
+def test_a_stop_word_is_no_token(books, word):
+    assert words_of(tokens(books(f"{word} {word.upper()} whale"))) == ["whale"]
+
+
+@pytest.mark.parametrize(
+    "word", ["one", "upon", "said", "like", "also", "never", "always", "many", "much", "whose", "get"]
+)
+def test_other_common_words_are_tokens(books, word):
+    assert words_of(tokens(books(f"{word} the"))) == [word]
+
+
+@pytest.mark.parametrize(
+    "marker",
+    [
+        "*** START OF THIS PROJECT GUTENBERG",
+        "*** START OF THE PROJECT GUTENBERG",
+        "***START OF THIS PROJECT GUTENBERG",
+        "***START OF THE PROJECT GUTENBERG",
+    ],
+)
+def test_each_start_marker(books, marker):
+    assert strip_boilerplate(books(f"head\n{marker} EBOOK\nbody")).first()["text"] == "body"
+
+
+@pytest.mark.parametrize(
+    "marker",
+    [
+        "*** END OF THIS PROJECT GUTENBERG",
+        "*** END OF THE PROJECT GUTENBERG",
+        "***END OF THIS PROJECT GUTENBERG",
+        "***END OF THE PROJECT GUTENBERG",
+        "End of the Project Gutenberg",
+        "End of Project Gutenberg",
+    ],
+)
+def test_each_end_marker(books, marker):
+    assert strip_boilerplate(books(f"body\n{marker} EBOOK\nfoot")).first()["text"] == "body\n"
