@@ -7,9 +7,10 @@ text is kept if enough of its characters are in content lines. Base rules come f
 of fewer than 50 words, or with more than half of the words in repeated three-word windows,
 fail.
 
-The field is fitted on a bounded sample of labelled rows: of each quality at most
-``sample`` documents of at most ``sample_chars`` code points, chosen by a hash. Their lines
-carry the document's label. Everything else covers all texts, whole, where they are read.
+The field is fitted on a bounded sample of labelled rows: of each quality ``sample`` labels,
+chosen by a hash, of which those count whose documents have at most ``sample_chars`` code
+points. The chosen numbers, 2,000 of them, are broadcast, so the texts are not shuffled. Lines
+carry their document's label. Everything else covers all texts, whole, where they are read.
 
 Defined results: a null text has no words and fails. Lines without a word have no label.
 Without labels of both qualities the weights are zero; ties go to content, so only the base
@@ -18,6 +19,7 @@ labels of null or unknown documents, and null labels, are ignored. ``judge`` kee
 of its input, replacing one named ``quality``. An empty table gives no row.
 """
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -42,15 +44,24 @@ JUDGED = (
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS):
     """The field's ``(weights, transitions)`` from ``docs`` (doc_id, text) and ``labels``
     (doc_id, quality: 1 good, 0 not)."""
-    texts = docs.filter(F.length("text") <= sample_chars).select("doc_id", "text")
-    labelled = labels.select("doc_id", "quality").join(texts, "doc_id").select("doc_id", "quality", "text")
-    chosen = [
-        labelled.filter(F.col("quality") == quality).orderBy(F.xxhash64("doc_id"), "text").limit(sample).toArrow()
+    by_quality = [
+        labels.filter(F.col("quality") == quality)
+        .select("doc_id", "quality")
+        .distinct()
+        .orderBy(F.xxhash64("doc_id"))
+        .limit(sample)
         for quality in (1, 0)
     ]
-    sequences = [line_tasks.line_features(table["text"]) for table in chosen]
-    marks = [line_tasks.CONTENT] * len(sequences[0]) + [line_tasks.BOILERPLATE] * len(sequences[1])
-    return line_tasks.fit([*sequences[0], *sequences[1]], marks)
+    texts = docs.filter(F.length("text") <= sample_chars).select("doc_id", "text")
+    chosen = (
+        texts.join(F.broadcast(by_quality[0].union(by_quality[1])), "doc_id")
+        .orderBy(F.xxhash64("doc_id"), "text")
+        .limit(2 * sample)
+        .toArrow()
+    )
+    sequences = line_tasks.line_features(chosen["text"])
+    good = np.array(chosen["quality"].to_pylist(), int) == 1
+    return line_tasks.fit(sequences, np.where(good, line_tasks.CONTENT, line_tasks.BOILERPLATE).tolist())
 
 
 def judge(docs: DataFrame, model, content_share: float = CONTENT_SHARE) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 
 from corpuslens.llm import text_tasks as T
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 CONTENT, BOILERPLATE = 0, 1
 
 
@@ -136,6 +136,8 @@ def line_features(texts):
     """For training: the features of each text's lines."""
     data, offsets = T.flat(texts)
     lines = Lines(data, offsets)
+    if lines.n == 0:
+        return []
     return np.split(lines.features, np.searchsorted(lines.document, np.arange(1, lines.n)))
 
 
