@@ -6,8 +6,8 @@ import pyarrow as pa
 from corpuslens.llm import text_tasks as T
 
 GRAM = 4
-SLICE_BYTES = 4 << 20
-MOST_KEYS = 4 << 20
+SLICE_BYTES = 1 << 20
+MOST_KEYS = 1 << 20
 # What an ASCII byte counts as: letters in lower case, all else a space. Others stay.
 MAPPED = np.where((T.LOWER >= 97) & (T.LOWER <= 122) | (np.arange(256) >= 128), T.LOWER, 0x20).astype(np.uint8)
 BLANK = 0x20202020
