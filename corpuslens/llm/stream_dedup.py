@@ -34,6 +34,10 @@ STATE_SETTINGS = {
     ),
     # A store per partition: without this each sets tens of MB of disk aside for its log.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # Stores of one executor share this memory, and give it back when they have committed.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
