@@ -8,7 +8,7 @@ from corpuslens.llm import text_tasks as T
 
 KEY_BITS = 40  # of a shingle's hash, for counting; orders need no exact counts
 FOLD = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shingle_sets(texts, size):
@@ -188,7 +188,7 @@ def _no_records():
     ).empty_table()
 
 
-def _common(lists, most_cells=1 << 23):
+def _common(lists, most_cells=1 << 21):
     """How many numbers each two of the lists have in common, as a matrix."""
     sizes = np.array([len(x) for x in lists])
     values = np.concatenate([np.zeros(0, np.int64), *(np.asarray(x, np.int64) for x in lists)])
@@ -230,7 +230,7 @@ def linked_in_cell(table, percent):
     marks = table["mark"].to_pylist()
     if allowed.any():
         n = np.array(table["n"].to_pylist())
-        both = _common(_lists(table["shared"])).astype(np.int64)
+        both = _common(_lists(table["shared"])).astype(np.int32)
         allowed &= 100 * both >= percent * (n[:, None] + n[None, :] - both)
     root = np.arange(len(marks))
     while True:
