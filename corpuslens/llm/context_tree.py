@@ -6,12 +6,18 @@ depths with the weights that the training texts give them. A text's score is the
 probability of its bytes (A-Z lower-cased) and of its end; ``-score * log2(10) / bytes`` is
 the code length per byte.
 
-Training counts each byte after the ``depth`` bytes before it, over all training texts.
-Tasks add up before the shuffle. The tree keeps the contexts that hold at least one in
-``2 ** mass_bits`` of all bytes; what lies outside the kept children of a context is one
-more child. So however large the corpus, a depth has at most ``2 ** mass_bits`` contexts
-(depths 0 and 1 have 1 and 256), and the tree that goes to the tasks at most 131,329 rows of
-2 KB with the values below, 270 MB; the test corpora use 33 MB.
+The tree has every context of the training texts, so it grows with the corpus and stays in
+tables. The texts are dealt into batches; a batch sends each of its grams (``depth`` bytes and
+the one after them) once, with its number among the training texts, in a packed row per
+bucket. Buckets are by a hash of the context, so no frequent one fills a bucket. The summed
+grams are regrouped by stem, the three bytes before the predicted one: below a stem are at
+most 65,536 contexts, which a task weighs from the longest up, some stems at a time. The sums
+of what stems tell the contexts of two bytes go to the driver, which weighs these (65,793
+contexts with the shorter ones, 16.8 million decisions at most, however large the corpus) and
+sends them back; then each part finds the probabilities of its grams, and the buckets
+answer the batches' requests. ``mass_bits`` is for comparisons: given, only contexts that
+hold at least one in ``2 ** mass_bits`` of all bytes are kept, and what lies outside the kept
+children of a context is one more child.
 
 The base score is that of add-one smoothed words. Exact counts of all words come back to the
 batches of documents that hold them; a batch sends each word once.
@@ -22,7 +28,6 @@ out. Without training texts every context is empty, and each decision costs one
 columns are ignored. An empty table gives no row.
 """
 
-import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +37,6 @@ from corpuslens.llm.batches import batch_count, in_batches
 from corpuslens.llm.stored import stored
 
 DEPTH = 5
-MASS_BITS = 15
 BATCH_BYTES = 12 << 20
 
 # Tasks get these functions with the query and need no copy of the package.
@@ -40,77 +44,33 @@ cloudpickle.register_pickle_by_value(text_tasks)
 cloudpickle.register_pickle_by_value(context_tree_tasks)
 
 
-def train(texts: DataFrame, depth: int = DEPTH, mass_bits: int = MASS_BITS):
-    """The tree ``(child, log_p)`` of the column ``text`` (see ``context_tree_tasks.weigh``)."""
-    grams = (
-        texts.select("text")
-        .mapInArrow(lambda batches: context_tree_tasks.count_grams(batches, depth), "key long, n long")
-        .groupBy("key")
-        .agg(F.sum("n").alias("n"))
-    )
-    contexts = F.array(
-        *[
-            F.struct(
-                F.lit(d).alias("depth"),
-                F.col("key").bitwiseAND((1 << 8 * (d + 1)) - 256).alias("context"),
-            )
-            for d in range(depth + 1)
-        ]
-    )
-    following = (
-        grams.select(F.inline(contexts), F.col("key").bitwiseAND(255).alias("byte"), "n")
-        .groupBy("depth", "context", "byte")
-        .agg(F.sum("n").alias("n"))
-    )
-    held = following.groupBy("depth", "context").agg(
-        F.sum("n").alias("held"), F.collect_list(F.struct("byte", "n")).alias("bytes")
-    )
-    held = stored(held)
-    total = held.filter("depth = 0").select("held").first()
-    kept = held.filter(F.col("held") * (1 << mass_bits) >= (total[0] if total else 0))
-    rows = kept.select("depth", F.shiftright("context", 8).alias("context"), F.inline("bytes"))
-    return context_tree_tasks.weigh(_levels(rows.toArrow(), depth))
-
-
-def _levels(table, depth):
-    columns = [table[c].to_numpy() for c in ("depth", "context", "byte", "n")]
-    levels = []
-    for d in range(depth + 1):
-        context, byte, n = (c[columns[0] == d] for c in columns[1:])
-        known, place = np.unique(context, return_inverse=True)
-        if d == 0 and not len(known):
-            known = np.zeros(1, np.int64)
-        counts = np.zeros((len(known), 256))
-        counts[place, byte] = n
-        levels.append((known, counts))
-    return levels
-
-
-def score(docs: DataFrame, depth: int = DEPTH, mass_bits: int = MASS_BITS) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH, mass_bits: int | None = None) -> DataFrame:
     """Train on the documents that are not ``held_out`` and score all of ``docs``
     (doc_id, text, held_out)."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(
-        train(docs.filter(~F.col("held_out")), depth, mass_bits)
-    )
     narrow = docs.select("doc_id", "text", "held_out")
     n_batches = batch_count(narrow, BATCH_BYTES)
     dealt = in_batches(narrow, n_batches, "held_out")
     asked = stored(
         dealt.select("batch", "text", "held_out")
         .groupBy("batch")
-        .applyInArrow(context_tree_tasks.word_counts, "batch int, word string, n long")
+        .applyInArrow(
+            lambda documents: context_tree_tasks.requests(documents, depth, n_batches),
+            "batch int, word string, n long, bucket int, keys binary, counts binary",
+        )
     )
-    words = asked.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0")
+    of_words = asked.filter("word IS NOT NULL").select("batch", "word", "n")
+    words = of_words.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0")
     ends = narrow.agg(F.count_if(~F.col("held_out"))).first()[0]
-    of_words = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    train_tokens, distinct = of_words[0] + ends, of_words[1] + (ends > 0)
-    answers = asked.select("batch", "word").join(words, "word").select("batch", "word", "c")
+    sums = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    train_tokens, distinct = sums[0] + ends, sums[1] + (ends > 0)
+    counts = of_words.select("batch", "word").join(words, "word").select("batch", "word", "c")
+    chances = _chances(asked.filter("word IS NULL"), n_batches, depth, mass_bits)
+    answers = counts.unionByName(chances, allowMissingColumns=True)
     scores = (
         dealt.groupBy("batch")
         .cogroup(answers.groupBy("batch"))
         .applyInArrow(
-            lambda documents, counts: context_tree_tasks.scored(documents, counts, model.value, depth),
+            lambda documents, found: context_tree_tasks.scored(documents, found, depth),
             "doc_id long, text_hash long, held_out boolean, n_words long, n_known_words long,"
             " log_counts double, score double",
         )
@@ -129,6 +89,41 @@ def score(docs: DataFrame, depth: int = DEPTH, mass_bits: int = MASS_BITS) -> Da
     )
 
 
+def _chances(asked: DataFrame, n_buckets: int, depth: int, mass_bits: int | None) -> DataFrame:
+    """``(batch, keys, log_p)``: the log10 probabilities of the grams that batches asked for."""
+    grams = stored(
+        asked.select("bucket", "keys", "counts")
+        .groupBy("bucket")
+        .applyInArrow(
+            lambda rows: context_tree_tasks.whole_grams(rows, depth, n_buckets), "part int, key long, n long"
+        )
+    )
+    least = 1
+    if mass_bits is not None:
+        total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        least = max(1, -(-total // (1 << mass_bits)))
+    told = (
+        grams.groupBy("part")
+        .applyInArrow(
+            lambda rows: context_tree_tasks.told_up(rows, depth, least), "kind int, key long, value double"
+        )
+        .groupBy("kind", "key")
+        .agg(F.sum("value").alias("value"))
+    )
+    top = context_tree_tasks.top(told.toArrow(), depth, least)
+    model = asked.sparkSession.sparkContext.broadcast(top)
+    weighed = grams.groupBy("part").applyInArrow(
+        lambda rows: context_tree_tasks.told_down(rows, model.value, depth, least, n_buckets),
+        "bucket int, key long, log_p float",
+    )
+    return (
+        asked.select("bucket", "batch", "keys")
+        .groupBy("bucket")
+        .cogroup(weighed.groupBy("bucket"))
+        .applyInArrow(context_tree_tasks.answers, "batch int, keys binary, log_p binary")
+    )
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from training: by a hash of its number."""
     remainder = F.crc32(doc_id.cast("string").cast("binary")) % 7

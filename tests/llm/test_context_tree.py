@@ -151,3 +151,49 @@ def test_partial_counts_stay_bounded(spark, monkeypatch):
         for key, n in zip(batch["key"].to_pylist(), batch["n"].to_pylist(), strict=True):
             parts[key] += n
     assert parts == whole
+
+
+def test_every_context_of_a_large_corpus_counts(spark):
+    """One context among more than 32,768 bytes still tells what follows it."""
+    rows = [(i, "xy" * 1000, False) for i in range(40)] + [(40, "qwertz", False), (41, "qwertz", True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
+    brute = Brute([t.encode() for _, t, out in rows if not out], 60)
+    found = {r.doc_id: r.score for r in C.score(docs, DEPTH).collect()}
+    assert len(found) == 42
+    assert found[41] == found[40] == pytest.approx(brute.score(b"qwertz"), rel=1e-5)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 4, 5])
+def test_parts_against_one_place(monkeypatch, depth):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tasks, "PART_GRAMS", 50)
+    rng = np.random.default_rng(depth)
+    texts = ["".join(rng.choice(list("abc é"), 200)) for _ in range(5)]
+    key, n = zip(*[(k, c) for b in tasks.count_grams([pa.record_batch({"text": texts})], depth) for k, c in zip(b["key"].to_pylist(), b["n"].to_pylist(), strict=True)])
+    key, n = np.array(key), np.array(n)
+    levels = []
+    for d in range(depth + 1):
+        context = key >> 8 & (1 << 8 * d) - 1
+        known, place = np.unique(context, return_inverse=True)
+        counts = np.zeros((len(known), 256))
+        np.add.at(counts, (place, key & 255), n)
+        levels.append((known, counts))
+    child, log_p = tasks.weigh(levels)
+    new = np.array([int.from_bytes(b"zzzzza"[-depth - 1 :], "big"), int.from_bytes(b"zzzcab"[-depth - 1 :], "big")])
+    new = np.setdiff1d(new, key)
+    asked = np.concatenate([key, new])
+    table = pa.table({"key": tasks.turned(asked, depth), "n": np.concatenate([n, np.zeros(len(new), np.int64)])})
+    told = tasks.told_up(table, depth, 1).group_by(["kind", "key"]).aggregate([("value", "sum")])
+    told = told.rename_columns(["kind", "key", "value"])
+    model = tasks.top(told, depth, 1)
+    found = tasks.told_down(table, model, depth, 1, 7)
+    assert sorted(found["key"].to_pylist()) == sorted(asked.tolist())
+    for k, p in zip(found["key"].to_pylist(), found["log_p"].to_pylist(), strict=True):
+        node = 0
+        for i in range(1, depth + 1):
+            below = child[node, k >> 8 * i & 255]
+            if not below:
+                break
+            node = below
+        assert p == pytest.approx(log_p[node, k & 255], rel=1e-4)
