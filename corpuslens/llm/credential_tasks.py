@@ -1,7 +1,7 @@
 """Spans of secrets inside a text. Nothing here knows Spark."""
 
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 
 import pyarrow as pa
 
@@ -18,7 +18,9 @@ WEAK_ID = re.compile(
     r"""(?i:access|client|account|user|tenant|key)[_-]?(?i:key[_-]?)?(?i:id|name)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{4,})""",
     re.ASCII,
 )
-WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])([A-Za-z0-9+/_-]{32,128}={0,2})(?![A-Za-z0-9+/=_-])")
+# A key-like run has 32 characters at least, 24 random bytes in base64: shorter runs with mixed
+# characters are often names. It has no upper bound, since only a partner makes it a secret.
+WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])([A-Za-z0-9+/_-]{32,}={0,2})(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"((?:https?|s3|ftp|jdbc:[a-z]+|[a-z]+\+?sql|mongodb|redis|amqp)://[^\s\"'<>]{4,})")
 SCOPE = 300  # code points before and after an identifier
 
@@ -43,17 +45,21 @@ def _mixed(value):
     )
 
 
-def _overlapping(spans, low, high, longest):
-    """Spans, sorted by start, that meet the interval; none is longer than ``longest``."""
-    at = bisect_left(spans, (low - longest,))
-    while at < len(spans) and spans[at][0] < high:
-        if spans[at][2] > low:
-            yield spans[at]
-        at += 1
+def _by_place(spans):
+    """Spans by kind, each with its ends: those of one kind are apart, so both are sorted."""
+    kinds = {}
+    for span in spans:
+        kinds.setdefault(span[1], []).append(span)
+    return [(own, [end for _, _, end in own]) for own in map(sorted, kinds.values())]
 
 
-def _longest(spans):
-    return max((end - start for start, _, end in spans), default=0)
+def _overlapping(by_place, low, high):
+    """Spans that meet the interval."""
+    for spans, ends in by_place:
+        at = bisect_right(ends, low)
+        while at < len(spans) and spans[at][0] < high:
+            yield spans[at]
+            at += 1
 
 
 def linked(text, found):
@@ -76,19 +82,19 @@ def linked(text, found):
     if not secrets:
         return []
     endpoints = [(m.start(1), 5, m.end(1)) for m in ENDPOINT.finditer(text)]
-    longest_secret, longest_endpoint, longest_base = map(_longest, (secrets, endpoints, found))
+    secrets, endpoints, known = map(_by_place, (secrets, endpoints, found))
     reported = set()
     for start, kind, end in sorted(ids):
         scope = (start - SCOPE, end + SCOPE)
-        partners = [s for s in _overlapping(secrets, *scope, longest_secret) if s[0] >= end or s[2] <= start]
+        partners = [s for s in _overlapping(secrets, *scope) if s[0] >= end or s[2] <= start]
         if partners:
             reported.add((start, kind, end))
             reported.update(s for s in partners if s[1] == 4)
-            reported.update(_overlapping(endpoints, *scope, longest_endpoint))
+            reported.update(_overlapping(endpoints, *scope))
     return sorted(
         span
         for span in reported
-        if not any(s <= span[0] and span[2] <= e for s, _, e in _overlapping(found, span[0], span[2], longest_base))
+        if not any(s <= span[0] and span[2] <= e for s, _, e in _overlapping(known, span[0], span[2]))
     )
 
 

@@ -128,3 +128,13 @@ def test_query_digest(spark, tmp_path):
     assert (one.n_assign, one.n_access, one.n_hex, one.spans) == (1, 1, 1, told)
     assert one.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
     assert (two.n_assign, two.spans, two.base_sha256) == (0, "", hashlib.sha256(b"").hexdigest())
+
+
+@pytest.mark.parametrize("length", [32, 128, 129, 200, 5000])
+def test_long_keys_are_found_and_masked(spark, length):
+    key = ("Zq7" + "aB3dE5gH7jK9mN1p" * 400)[:length]
+    text = f"client_id = robot7 {key}."
+    at = text.index(key)
+    assert tasks.linked(text, tasks.base(text)) == [(12, 3, 18), (at, 4, at + length)]
+    docs = spark.createDataFrame([(1, text, 9)], "doc_id long, text string, n_chars long")
+    assert C.redact(docs).first().text == "client_id = [REDACTED] [REDACTED]."
