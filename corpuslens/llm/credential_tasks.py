@@ -22,7 +22,9 @@ WEAK_ID = re.compile(
 # characters are often names. It has no upper bound, since only a partner makes it a secret.
 WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])([A-Za-z0-9+/_-]{32,}={0,2})(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"((?:https?|s3|ftp|jdbc:[a-z]+|[a-z]+\+?sql|mongodb|redis|amqp)://[^\s\"'<>]{4,})")
-SCOPE = 300  # code points before and after an identifier
+SCOPE = 300  # code points before and after an identifier, at least
+BRACES = re.compile(r"[{}]")
+SETTING = re.compile(r"""[ \t]*(?:export[ \t]+|-[ \t]+)?["']?[\w.-]+["']?[ \t]*[:=][ \t]*(?:"[^"]*"|'[^']*'|\S*)[ \t]*[,;]?\r?""")
 
 
 def base(text):
@@ -62,12 +64,65 @@ def _overlapping(by_place, low, high):
             at += 1
 
 
+def _objects(text, ids):
+    """Of each identifier the innermost ``{...}`` around it, if any. Braces count as they stand."""
+    found, open_, waiting = {}, [], sorted(ids, reverse=True)
+    inside = []  # of each open brace, the identifiers that have no smaller object yet
+    for m in BRACES.finditer(text):
+        while waiting and waiting[-1][0] < m.start():
+            span = waiting.pop()
+            if open_:
+                inside[-1].append(span)
+        if m[0] == "{":
+            open_.append(m.start())
+            inside.append([])
+        elif open_:
+            start = open_.pop()
+            for span in inside.pop():
+                found.setdefault((start, m.end()), []).append(span)
+    return found
+
+
+def _settings(text, ids):
+    """Of each identifier the run of two or more lines ``name = value`` that it is in, if any."""
+    found, last = {}, (0, 0)
+
+    def line(at):
+        end = text.find("\n", at)
+        return text.rfind("\n", 0, at) + 1, len(text) if end < 0 else end
+
+    for span in sorted(ids):
+        if last[0] <= span[0] < last[1]:
+            found[last].append(span)
+            continue
+        start, end = line(span[0])
+        if not SETTING.fullmatch(text, start, end):
+            continue
+        lines = 1
+        while start > 0:
+            above = line(start - 1)
+            if not SETTING.fullmatch(text, *above):
+                break
+            start, lines = above[0], lines + 1
+        while end < len(text):
+            below = line(end + 1)
+            if not SETTING.fullmatch(text, *below):
+                break
+            end, lines = below[1], lines + 1
+        if lines > 1:
+            last = (start, end)
+            found[last] = [span]
+    return found
+
+
 def linked(text, found):
     """Weak candidates whose complements are in one scope with them.
 
-    An interval join: an identifier's scope reaches ``SCOPE`` code points to both sides. If
+    An interval join: an identifier's scope reaches ``SCOPE`` code points to both sides, and
+    over the whole object in braces and the whole run of setting lines that it is in. If
     a secret, of the base kinds or weak, meets the scope, then the identifier, the weak secrets
-    and the endpoints that meet it are reported, save what lies in a base span.
+    and the endpoints that meet it are reported, save what lies in a base span. A secret
+    and an endpoint without an identifier are not linked.
     """
     ids = [(s, 3, e) for s, kind, e in found if kind == 1]
     if "=" in text or ":" in text:
@@ -84,12 +139,15 @@ def linked(text, found):
     endpoints = [(m.start(1), 5, m.end(1)) for m in ENDPOINT.finditer(text)]
     secrets, endpoints, known = map(_by_place, (secrets, endpoints, found))
     reported = set()
-    for start, kind, end in sorted(ids):
-        scope = (start - SCOPE, end + SCOPE)
-        partners = [s for s in _overlapping(secrets, *scope) if s[0] >= end or s[2] <= start]
-        if partners:
-            reported.add((start, kind, end))
-            reported.update(s for s in partners if s[1] == 4)
+    scopes = [((start - SCOPE, end + SCOPE), [(start, kind, end)]) for start, kind, end in sorted(ids)]
+    scopes += [*_objects(text, ids).items(), *_settings(text, ids).items()]
+    for scope, own in scopes:
+        partners = list(_overlapping(secrets, *scope))
+        apart = lambda x, others: any(s[0] >= x[2] or s[2] <= x[0] for s in others)
+        own = [i for i in own if apart(i, partners)]
+        if own:
+            reported.update(own)
+            reported.update(s for s in partners if s[1] == 4 and apart(s, own))
             reported.update(_overlapping(endpoints, *scope))
     return sorted(
         span

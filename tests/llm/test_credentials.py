@@ -138,3 +138,19 @@ def test_long_keys_are_found_and_masked(spark, length):
     assert tasks.linked(text, tasks.base(text)) == [(12, 3, 18), (at, 4, at + length)]
     docs = spark.createDataFrame([(1, text, 9)], "doc_id long, text string, n_chars long")
     assert C.redact(docs).first().text == "client_id = [REDACTED] [REDACTED]."
+
+
+@pytest.mark.parametrize(
+    ("before", "between", "after", "whole"),
+    [
+        ('{"client_id": "robot7", "note": "', "n " * 400 + '", "x": {"y": 1}, "k": "', '"}', True),
+        ('{"a": {"client_id": "robot7"}, "note": "', "n " * 400 + '", "k": "', '"}', False),
+        ("[a]\nclient_id = robot7\n", "".join(f"option{i} = value\n" for i in range(40)) + "k = ", "\n", True),
+        ("[a]\nclient_id = robot7\n", "option = value\n" * 40 + "\n[b]\nk = ", "\n", False),
+        ("client_id = robot7 ", "some words " * 40, "", False),
+    ],
+)
+def test_a_scope_is_the_whole_block(before, between, after, whole):
+    text = before + between + KEY + after
+    want = [("id", "robot7"), ("key", KEY)] if whole else []
+    assert spans(text) == want
