@@ -5,6 +5,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.llm.stored import on_file
+
 LEAST_BUCKET = 256  # keys that a batch should have for each of as many buckets as batches
 BYTES_PER_KEY = 6
 
@@ -22,10 +24,13 @@ def batch_count(docs: DataFrame, batch_bytes: int) -> int:
 
 
 def in_batches(docs: DataFrame, n_batches: int, *others: str) -> DataFrame:
-    """``(batch, doc_id, text_hash, text, *others)``: batches by a hash of the whole row, so that
-    neither a null nor a repeated doc_id makes a large one."""
+    """``(batch, doc_id, text_hash, text, *others)``: batches by a hash of the row's place, its
+    file and number there, so that neither a null doc_id nor a row that is repeated a million
+    times makes a large one. Rows that are in no file are written to some first."""
+    docs = on_file(docs)
+    place = docs.metadataColumn("_metadata")
     return docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)).cast("int").alias("batch"),
+        F.pmod(F.xxhash64(place["file_path"], place["row_index"]), F.lit(n_batches)).cast("int").alias("batch"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("text_hash"),
         "text",

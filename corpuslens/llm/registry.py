@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslens.llm import bpe, chat_format, context_tree, credentials, language_id, line_quality, ngram_join, packing, stream_dedup, url_filter
+from corpuslens.llm import bpe, chat_format, context_tree, credentials, language_id, line_quality, ngram_join, packing, phrase_mining, stream_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": bpe.query,
         "op9_credentials": credentials.query,
         "op10_packing": packing.query,
+        "op11_phrases": phrase_mining.query,
     }
 
 
@@ -27,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_chat_format": chat_format.ORACLE_SQL,
         "op5_stream_dedup": stream_dedup.ORACLE_SQL,
         "op6_url_filter": url_filter.ORACLE_SQL,
+        "op11_phrases": phrase_mining.ORACLE_SQL,
     }

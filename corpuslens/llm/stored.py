@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,3 +29,12 @@ def stored(rows: DataFrame) -> DataFrame:
     folder = shared_folder(rows.sparkSession)
     rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def on_file(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows are read from files, else written to some."""
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return stored(docs)
+    return docs

@@ -21,11 +21,10 @@ are ignored by ``deduplicate`` and kept by ``without_copies``. An empty table gi
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.stored import shared_folder, stored
+from corpuslens.llm.stored import on_file, shared_folder, stored
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 STATE_SETTINGS = {
@@ -49,15 +48,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def on_file(docs: DataFrame) -> DataFrame:
-    """``docs`` if its rows are read from files, else written to some."""
-    try:
-        docs.select(docs.metadataColumn("_metadata")["row_index"])
-    except AnalysisException:
-        return stored(docs)
-    return docs
-
-
 def located(docs: DataFrame) -> DataFrame:
     """``(document, file, row)``: all columns of ``docs`` as one, and where they are."""
     place = docs.metadataColumn("_metadata")

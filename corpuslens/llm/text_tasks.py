@@ -36,9 +36,10 @@ def slices(offsets, most_bytes):
         first = last
 
 
-def words(data, offsets):
-    """``(starts, ends, document)`` of the runs without white space; none crosses a text."""
-    gap = GAP[data]
+def words(data, offsets, gaps=GAP):
+    """``(starts, ends, document)`` of the runs without white space, or without the bytes marked
+    in ``gaps``; none crosses a text."""
+    gap = gaps[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.ones(len(data), bool)
