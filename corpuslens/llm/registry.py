@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslens.llm import bpe, chat_format, context_tree, credentials, language_id, line_quality, ngram_join, packing, phrase_mining, stream_dedup, url_filter
+from corpuslens.llm import bpe, chat_format, context_tree, credentials, language_id, line_quality, neighbours, ngram_join, packing, phrase_mining, stream_dedup, url_filter, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_credentials": credentials.query,
         "op10_packing": packing.query,
         "op11_phrases": phrase_mining.query,
+        "op12_neighbours": neighbours.query,
+        "op13_whitening": whitening.query,
     }
 
 

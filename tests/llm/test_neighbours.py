@@ -1,0 +1,145 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpuslens.llm import neighbour_tasks as T
+from corpuslens.llm import neighbours as N
+
+QUERY = F.col("vec_id") % 100 == 0
+
+
+def vectors(spark, rows, kind="float"):
+    return spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+
+
+def brute(rows, k):
+    """Ranked lists, for rows of different ids whose vectors all take part."""
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], np.float64)
+    lists = {}
+    for i, q in zip(ids, x, strict=True):
+        if i % 100 == 0:
+            score = np.sqrt(((x - q) ** 2).sum(1))
+            order = [j for j in np.lexsort((ids, score)) if ids[j] != i][:k]
+            lists[int(i)] = [(int(ids[j]), score[j]) for j in order]
+    return lists
+
+
+def found(frame):
+    lists = {}
+    for r in sorted(frame.collect(), key=lambda r: (r.query_id, r["rank"])):
+        own = lists.setdefault(r.query_id, [])
+        own.append((r.vec_id, r.score))
+        assert r["rank"] == len(own)
+    return lists
+
+
+def recall(lists, expected, k=10):
+    n = sum(map(len, expected.values()))
+    return sum(len({i for i, _ in lists[q]} & {i for i, _ in expected[q]}) for q in expected) / n
+
+
+def gaussian(n, d, seed):
+    x = np.random.default_rng(seed).normal(size=(n, d)).astype(np.float32)
+    return [(i, row.tolist()) for i, row in enumerate(x)]
+
+
+@pytest.mark.parametrize("n, d", [(3000, 8), (3000, 48)])
+def test_recall_and_scores(spark, n, d):
+    rows = gaussian(n, d, d)
+    lists, expected = found(N.nearest(vectors(spark, rows), QUERY)), brute(rows, 10)
+    assert lists.keys() == expected.keys()
+    assert recall(lists, expected) >= 0.9
+    exact = {q: {i: math.dist(rows[q][1], rows[i][1]) for i, _ in own} for q, own in lists.items()}
+    for q, own in lists.items():
+        assert len(own) == 10
+        assert own == sorted(own, key=lambda x: (x[1], x[0]))
+        assert all(s == pytest.approx(exact[q][i], rel=1e-12) for i, s in own)
+
+
+def test_registered_query_has_the_recall(spark):
+    directory = "/root/testdata/sf0.01"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{directory}/embeddings.parquet").collect()]
+    assert recall(found(N.query(spark, directory)), brute(rows, 10)) >= 0.9
+
+
+def test_blocks_of_hot_groups_give_the_same(spark, monkeypatch):
+    """One cell holds a third of all points, and most queries; blocks hold 64."""
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 0.001 if i % 3 == 0 else 5) for _ in range(4)]) for i in range(1500)]
+    expected = brute(rows, 10)
+    whole = found(N.nearest(vectors(spark, rows, "double"), QUERY))
+    monkeypatch.setattr(N, "BLOCK_BYTES", 1)
+    blocks = found(N.nearest(vectors(spark, rows, "double"), QUERY))
+    assert blocks == whole
+    assert recall(whole, expected) >= 0.9
+
+
+def test_a_vector_that_a_third_of_the_rows_share(spark):
+    rows = gaussian(1200, 6, 1)
+    rows = [(i, rows[0][1] if i % 3 == 0 else v) for i, v in rows]
+    lists = found(N.nearest(vectors(spark, rows), QUERY))
+    expected = brute(rows, 10)
+    for q in expected:
+        if q % 3 == 0:
+            assert lists[q] == expected[q]  # copies of least id, at distance 0
+    points = N.points_of(N.usable(vectors(spark, rows)), 11)
+    assert points.agg(F.max(F.size("ids"))).first()[0] == 11
+    assert "WindowGroupLimit" in points._jdf.queryExecution().toString()
+
+
+def test_few_rows_give_all_candidates(spark):
+    rows = [(100 * i, [float(i), 1.0]) for i in range(5)] + [(7, [1000.0, 1.0])]
+    assert found(N.nearest(vectors(spark, rows), QUERY)) == brute(rows, 10)
+    assert found(N.nearest(vectors(spark, rows[:1]), QUERY)) == {}
+
+
+def test_odd_cases(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [
+        (0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 0.0]), (3, None), (4, []), (5, [1.0, None]), (6, [nan, 1.0]),
+        (7, [inf, 1.0]), (8, [1.0, 2.0, 3.0]), (None, [1.0, 0.5]), (100, [1.0, 0.0]), (100, [0.5, 9.0]), (9, [1.0, 1.0]),
+        (200, [0.0, 0.0]), (300, None), (10, [1e200, -1e200]), (1, [1.0, 1.0]),
+    ]
+    frame = vectors(spark, rows, "double").selectExpr("*", "'x' AS vector", "1 AS `group`", "2 AS point", "3 AS query", "4 AS score")
+    used = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (9, [1.0, 1.0]), (10, [1e200, -1e200]), (100, [1.0, 0.0])]
+    with np.errstate(over="ignore"):
+        expected = brute(used, 10)
+    assert found(N.nearest(frame, QUERY)) == expected
+    assert N.nearest(frame.limit(0), QUERY).count() == 0
+    assert N.nearest(frame.filter("vec_id IN (1, 9)"), QUERY).count() == 0
+    assert N.nearest(frame, QUERY).columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_perturbations_come_in_order_of_score():
+    for slots in (2, 3, 5):
+        sets = T.perturbations(slots, 10**6)
+        m = 2 * slots
+        assert len(set(sets)) == len(sets) == 3**slots  # stay, down or up, for each slot
+        j = np.arange(1, m + 1)
+        expected = [
+            j * (j + 1) / (4 * (slots + 1) * (slots + 2)),
+            1 - (m + 1 - j) / (slots + 1) + (m + 1 - j) * (m + 2 - j) / (4 * (slots + 1) * (slots + 2)),
+        ]
+        score = np.where(j <= slots, *expected)
+        sums = [score[list(s)].sum() for s in sets]
+        assert all(a <= b + 1e-12 for a, b in zip(sums, sums[1:]))
+
+
+def test_probed_cells_are_the_neighbouring_cells():
+    hashes = T.Hashes(dimension=3, tables=2, slots=2, width=1.0, probes=100)
+    x = np.random.default_rng(0).normal(size=(20, 3)) * 3
+    directions, shifts, steps = T._drawn(7, 3, 2, 2)
+    for table in range(2):
+        place = x @ directions[table] + shifts[table]
+        slot = np.floor(place).astype(np.int64)
+        for i, probes in enumerate(hashes.probed(x, table)):
+            assert probes[0] == hashes.cells(x, table)[i]
+            around = [
+                int(((slot[i] + [a, b]).astype(np.uint64) * steps[table]).sum(dtype=np.uint64))
+                for a in (-1, 0, 1) for b in (-1, 0, 1)
+            ]
+            assert sorted(map(int, probes)) == sorted(around)
