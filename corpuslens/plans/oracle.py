@@ -187,6 +187,9 @@ def oracle_sql() -> dict[str, str]:
             replace(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(65533), '') AS text
             FROM documents""",
         "wordcount_sink": _with(WORD_COUNT) + "SELECT word || chr(9) || n AS value FROM word_counts",
+        "book_folder": r"""SELECT sum(length(replace(regexp_replace(coalesce(text, '') || chr(10),
+            '\r\n?', chr(10), 'g'), chr(65533), '')))::BIGINT AS characters, true AS all_read, 0 AS rejected
+            FROM documents""",
         "word_count": _with(WORD_COUNT) + "SELECT * FROM word_counts",
         "meta_extract": _META + "SELECT * FROM meta",
         "books_per_year": _META
@@ -255,6 +258,8 @@ def oracle_sql() -> dict[str, str]:
         "first_author_years": _with(BOOKS, AUTHORS, AUTHOR_YEARS)
         + "SELECT * FROM author_years ORDER BY release_year, doc_id LIMIT 20",
         "influence_edges": NETWORK + "SELECT * FROM edges",
+        "fed_network": NETWORK + "SELECT * FROM edges",
+        "adjacency_edges": NETWORK + "SELECT * FROM edges",
         "out_degree": NETWORK + "SELECT * FROM outs",
         "in_degree": NETWORK + "SELECT * FROM ins",
         "degree_combined": NETWORK + "SELECT * FROM degrees",

@@ -14,8 +14,11 @@ from corpuslens.operators import influence as I
 from corpuslens.operators import metadata as M
 from corpuslens.operators import similarity as S
 from corpuslens.operators import term_weights as T
+from corpuslens.operators.adjacency import adjacency, edges_of, numbered
+from corpuslens.operators.network_feed import feed, known_edges
 from corpuslens.operators.word_count import word_count
 from corpuslens.sources import files, tables
+from corpuslens.sources.shared import run_folder
 
 KEY = "doc_id"
 TARGET = 10
@@ -61,29 +64,59 @@ def _terms(query: Callable[[T.Terms], DataFrame]) -> Query:
 
 
 def _word_count_through_files(spark: SparkSession, directory: str) -> DataFrame:
-    """Texts to line files, word count over the lines, counts to files, read back.
-
-    The files are in the session's warehouse and replaced by each run.
-    """
-    folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/corpuslens_word_counts"
+    """Texts to line files, word count over the lines, counts to files, read back."""
+    folder = run_folder(spark, "word-counts")
     lines = tables.documents(spark, directory).select("text")
-    lines.write.mode("overwrite").text(f"{folder}/lines")
+    lines.write.text(f"{folder}/lines")
     counts = word_count(files.read_lines(spark, f"{folder}/lines"))
-    files.write_word_counts(counts, f"{folder}/counts", mode="overwrite")
+    files.write_word_counts(counts, f"{folder}/counts")
     return files.read_lines(spark, f"{folder}/counts")
 
 
+def _book_folder(spark: SparkSession, directory: str) -> DataFrame:
+    """Texts to a folder of books, up to 500 in each, read back with the report of rejects."""
+    folder = run_folder(spark, "books")
+    texts = tables.documents(spark, directory).select("text")
+    texts.write.option("maxRecordsPerFile", 500).text(folder)
+    books, rejects = files.read_report(spark, folder)
+    rejected = rejects.agg(F.count("*").alias("rejected"))
+    totals = books.agg(
+        F.sum(F.length("text")).alias("characters"),
+        (F.count("*") == files.list_books(spark, folder).count()).alias("all_read"),
+    )
+    return totals.withColumn("rejected", rejected.scalar())
+
+
 def _edges_of_the_last_tenth(dated: DataFrame) -> DataFrame:
     """What the books whose number ends in 9 add to the network of all others."""
     added = F.col(KEY) % 10 == 9
     return I.edges_added(dated.filter(~added), dated.filter(added), WINDOW)
 
 
+def _fed_network(spark: SparkSession, directory: str) -> DataFrame:
+    """The network after books came in three lots, each taken in by a stream of its own run."""
+    folder = run_folder(spark, "network")
+    books = tables.books_with_headers(spark, directory)
+    for lot in range(3):
+        books.filter(F.col(KEY) % 3 == lot).write.mode("append").parquet(f"{folder}/books")
+        landed = spark.readStream.schema(books.schema).parquet(f"{folder}/books")
+        feed(I.author_years(landed, KEY), f"{folder}/state", WINDOW).awaitTermination()
+    return known_edges(spark, f"{folder}/state").select("author_a", "author_b")
+
+
+def _through_adjacency(dated: DataFrame) -> DataFrame:
+    """The edges, taken from the bitmaps of all adjacency lists."""
+    tables_ = I.author_tables(dated)
+    numbers = numbered(tables_.authors)
+    return edges_of(adjacency(I.influence_edges(tables_, WINDOW), numbers), numbers)
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources and sinks
         "documents_as_books": tables.documents_as_books,
         "wordcount_sink": _word_count_through_files,
+        "book_folder": _book_folder,
         # word count
         "word_count": _documents(lambda d: word_count(d, "text")),
         # metadata
@@ -156,4 +189,6 @@ def queries() -> dict[str, Query]:
             )
         ),
         "edges_added": _dated(_edges_of_the_last_tenth),
+        "fed_network": _fed_network,
+        "adjacency_edges": _dated(_through_adjacency),
     }

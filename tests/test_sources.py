@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.operators.word_count import word_count
 from corpuslens.sources import files, tables
+from corpuslens.sources.shared import run_folder
 
 
 @pytest.fixture
@@ -106,6 +107,64 @@ def test_an_unreadable_book_is_skipped_and_no_other(spark, tmp_path):
     assert found - {r["file_name"] for r in vanishing.collect()} == {"b3.txt"}
 
 
+@pytest.fixture
+def troubled(spark, tmp_path):
+    """Good books, one whose bytes no longer match their checksum, and odd names."""
+    folder = tmp_path / "books"
+    folder.mkdir()
+    for name in ("b0", "b1", "b2", "b [3]{x}"):
+        (folder / f"{name}.txt").write_text(f"book {name}\n")
+    (folder / "other.md").write_text("no book")
+    spark.range(1).selectExpr("'hello there' AS value").coalesce(1).write.text(str(tmp_path / "w"))
+    part = next((tmp_path / "w").glob("part-*.txt"))
+    for name in ("broken", "broken [1]"):
+        (folder / f"{name}.txt").write_text("HELLO THERE\n")
+        (folder / f".{name}.txt.crc").write_bytes((tmp_path / "w" / f".{part.name}.crc").read_bytes())
+    return folder
+
+
+def told(rejects):
+    return {r["file_name"]: (r["bytes"], r["reason"], r["error"]) for r in rejects.collect()}
+
+
+def test_rejects_name_what_was_not_read_and_why(spark, troubled):
+    books, rejects = files.read_report(spark, str(troubled))
+    found = told(rejects)
+    assert books.count() == 4
+    assert {(size, reason) for size, reason, _ in found.values()} == {(12, "unreadable")}
+    assert len(found) == 2
+    assert all("ChecksumException" in error for _, _, error in found.values())
+    _, rejects = files.read_report(spark, str(troubled), most_errors=1)
+    assert sorted(error is None for _, _, error in told(rejects).values()) == [False, True]
+
+
+def test_rejects_name_what_vanished(spark, troubled):
+    listed = spark.createDataFrame(files.list_books(spark, str(troubled)).collect(), "file_name string, path string, bytes long")
+    books = files.read_books(spark, str(troubled))
+    (troubled / "b1.txt").unlink()
+    found = told(files.rejects(listed, books, str(troubled)))
+    assert found["b1.txt"][:2] == (8, "vanished")
+    assert len(found) == 3
+
+
+def test_nothing_is_rejected_from_a_sound_or_empty_folder(spark, folder, tmp_path):
+    assert told(files.read_report(spark, folder)[1]) == {}
+    (tmp_path / "empty").mkdir()
+    books, rejects = files.read_report(spark, str(tmp_path / "empty"))
+    assert (books.count(), told(rejects)) == (0, {})
+
+
+def test_a_listing_reads_no_content(spark, troubled):
+    plan = files.list_books(spark, str(troubled))._jdf.queryExecution().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]
+
+
+def test_run_folders_differ_and_need_a_shared_root(spark):
+    folders = {run_folder(spark, "x") for _ in range(3)}
+    assert len(folders) == 3
+    assert all(f.startswith(spark.conf.get("spark.checkpoint.dir")) for f in folders)
+
+
 def test_clean_text(spark):
     row = spark.range(1).select(files.clean_text(F.lit("a\r\nb\rc\n�d")).alias("t")).first()
     assert row["t"] == "a\nb\nc\nd"
