@@ -88,7 +88,7 @@ def intervals(a, n_largest, most):
             low = max(low - 4 * tiny, high / 4)
             count = count_above(a, low)
         if count > above:
-            found.append((low, high, count - above))
+            found.append((float(low), float(high), count - above))
         high, above = low, count
     return found
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from corpuslens.llm import neighbour_tasks as T
 from corpuslens.llm import neighbours as N
 
-QUERY = F.col("vec_id") % 100 == 0
+def query():
+    return F.col("vec_id") % 100 == 0
 
 
 def vectors(spark, rows, kind="float"):
@@ -50,7 +51,7 @@ def gaussian(n, d, seed):
 @pytest.mark.parametrize("n, d", [(3000, 8), (3000, 48)])
 def test_recall_and_scores(spark, n, d):
     rows = gaussian(n, d, d)
-    lists, expected = found(N.nearest(vectors(spark, rows), QUERY)), brute(rows, 10)
+    lists, expected = found(N.nearest(vectors(spark, rows), query())), brute(rows, 10)
     assert lists.keys() == expected.keys()
     assert recall(lists, expected) >= 0.9
     exact = {q: {i: math.dist(rows[q][1], rows[i][1]) for i, _ in own} for q, own in lists.items()}
@@ -71,9 +72,9 @@ def test_blocks_of_hot_groups_give_the_same(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(i, [rng.gauss(0, 0.001 if i % 3 == 0 else 5) for _ in range(4)]) for i in range(1500)]
     expected = brute(rows, 10)
-    whole = found(N.nearest(vectors(spark, rows, "double"), QUERY))
+    whole = found(N.nearest(vectors(spark, rows, "double"), query()))
     monkeypatch.setattr(N, "BLOCK_BYTES", 1)
-    blocks = found(N.nearest(vectors(spark, rows, "double"), QUERY))
+    blocks = found(N.nearest(vectors(spark, rows, "double"), query()))
     assert blocks == whole
     assert recall(whole, expected) >= 0.9
 
@@ -81,7 +82,7 @@ def test_blocks_of_hot_groups_give_the_same(spark, monkeypatch):
 def test_a_vector_that_a_third_of_the_rows_share(spark):
     rows = gaussian(1200, 6, 1)
     rows = [(i, rows[0][1] if i % 3 == 0 else v) for i, v in rows]
-    lists = found(N.nearest(vectors(spark, rows), QUERY))
+    lists = found(N.nearest(vectors(spark, rows), query()))
     expected = brute(rows, 10)
     for q in expected:
         if q % 3 == 0:
@@ -93,8 +94,8 @@ def test_a_vector_that_a_third_of_the_rows_share(spark):
 
 def test_few_rows_give_all_candidates(spark):
     rows = [(100 * i, [float(i), 1.0]) for i in range(5)] + [(7, [1000.0, 1.0])]
-    assert found(N.nearest(vectors(spark, rows), QUERY)) == brute(rows, 10)
-    assert found(N.nearest(vectors(spark, rows[:1]), QUERY)) == {}
+    assert found(N.nearest(vectors(spark, rows), query())) == brute(rows, 10)
+    assert found(N.nearest(vectors(spark, rows[:1]), query())) == {}
 
 
 def test_odd_cases(spark):
@@ -108,10 +109,10 @@ def test_odd_cases(spark):
     used = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (9, [1.0, 1.0]), (10, [1e200, -1e200]), (100, [1.0, 0.0])]
     with np.errstate(over="ignore"):
         expected = brute(used, 10)
-    assert found(N.nearest(frame, QUERY)) == expected
-    assert N.nearest(frame.limit(0), QUERY).count() == 0
-    assert N.nearest(frame.filter("vec_id IN (1, 9)"), QUERY).count() == 0
-    assert N.nearest(frame, QUERY).columns == ["query_id", "rank", "vec_id", "score"]
+    assert found(N.nearest(frame, query())) == expected
+    assert N.nearest(frame.limit(0), query()).count() == 0
+    assert N.nearest(frame.filter("vec_id IN (1, 9)"), query()).count() == 0
+    assert N.nearest(frame, query()).columns == ["query_id", "rank", "vec_id", "score"]
 
 
 def test_perturbations_come_in_order_of_score():
