@@ -7,8 +7,8 @@ import pyarrow.compute
 from corpuslens.llm import text_tasks as T
 
 MARK = 0xFF  # stands before and after each text; UTF-8 has no such byte
-SLICE_BYTES = 4 << 20
-MOST_KEYS = 8 << 20
+SLICE_BYTES = 1 << 20
+MOST_KEYS = 2 << 20
 
 
 def framed(data, offsets, depth):

@@ -27,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(rows: DataFrame) -> DataFrame:
     """``rows``, written and read back: later steps survive the loss of any executor."""
     folder = shared_folder(rows.sparkSession)
-    rows.write.parquet(folder)
+    rows.write.option("compression", "zstd").parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
