@@ -2,6 +2,7 @@
 
 import re
 from bisect import bisect_right
+from string import ascii_lowercase
 
 import pyarrow as pa
 
@@ -21,7 +22,10 @@ WEAK_ID = re.compile(
 # A key-like run has 32 characters at least, 24 random bytes in base64: shorter runs with mixed
 # characters are often names. It has no upper bound, since only a partner makes it a secret.
 WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])([A-Za-z0-9+/_-]{32,}={0,2})(?![A-Za-z0-9+/=_-])")
-ENDPOINT = re.compile(r"((?:https?|s3|ftp|jdbc:[a-z]+|[a-z]+\+?sql|mongodb|redis|amqp)://[^\s\"'<>]{4,})")
+# An endpoint is a scheme, "://" and a place: one of these, or jdbc: and a name, or a name that ends
+# with "sql" or "+sql".
+SCHEMES = ("http", "https", "s3", "ftp", "mongodb", "redis", "amqp")
+PLACE = re.compile(r"[^\s\"'<>]{4,}")
 SCOPE = 300  # code points before and after an identifier, at least
 BRACES = re.compile(r"[{}]")
 SETTING = re.compile(r"""[ \t]*(?:export[ \t]+|-[ \t]+)?["']?[\w.-]+["']?[ \t]*[:=][ \t]*(?:"[^"]*"|'[^']*'|\S*)[ \t]*[,;]?\r?""")
@@ -47,6 +51,37 @@ def _mixed(value):
     )
 
 
+def _scheme(before):
+    """Where the longest scheme that ``before`` ends with starts in it, or None."""
+    head = before.rstrip(ascii_lowercase)
+    name = before[len(head) :]
+    starts = [len(before) - len(s) for s in SCHEMES if before.endswith(s)]
+    if name.endswith("sql") and len(name) > 3:
+        starts.append(len(head))
+    elif name == "sql" and head.endswith("+"):
+        driver = head[:-1].rstrip(ascii_lowercase)
+        if len(driver) < len(head) - 1:
+            starts.append(len(driver))
+    if name and head.endswith("jdbc:"):
+        starts.append(len(head) - 5)
+    return min(starts, default=None)
+
+
+def endpoints(text):
+    """Spans ``(start, kind number, end)`` of endpoints, found from their "://", so that a long run of
+    letters is looked at once."""
+    found, at = [], 0
+    while (colon := text.find("://", at)) >= 0:
+        start = _scheme(text[at:colon])
+        place = None if start is None else PLACE.match(text, colon + 3)
+        if place is None:
+            at = colon + 1
+        else:
+            found.append((at + start, 5, place.end()))
+            at = place.end()
+    return found
+
+
 def _by_place(spans):
     """Spans by kind, each with its ends: those of one kind are apart, so both are sorted."""
     kinds = {}
@@ -85,7 +120,7 @@ def _objects(text, ids):
 
 def _settings(text, ids):
     """Of each identifier the run of two or more lines ``name = value`` that it is in, if any."""
-    found, last = {}, (0, 0)
+    found, last, other = {}, (0, 0), (0, 0)
 
     def line(at):
         end = text.find("\n", at)
@@ -95,7 +130,9 @@ def _settings(text, ids):
         if last[0] <= span[0] < last[1]:
             found[last].append(span)
             continue
-        start, end = line(span[0])
+        if other[0] <= span[0] < other[1]:  # the same line, which is no setting
+            continue
+        start, end = other = line(span[0])
         if not SETTING.fullmatch(text, start, end):
             continue
         lines = 1
@@ -136,8 +173,7 @@ def linked(text, found):
     )
     if not secrets:
         return []
-    endpoints = [(m.start(1), 5, m.end(1)) for m in ENDPOINT.finditer(text)]
-    secrets, endpoints, known = map(_by_place, (secrets, endpoints, found))
+    secrets, places, known = map(_by_place, (secrets, endpoints(text), found))
     reported = set()
     scopes = [((start - SCOPE, end + SCOPE), [(start, kind, end)]) for start, kind, end in sorted(ids)]
     scopes += [*_objects(text, ids).items(), *_settings(text, ids).items()]
@@ -148,7 +184,7 @@ def linked(text, found):
         if own:
             reported.update(own)
             reported.update(s for s in partners if s[1] == 4 and apart(s, own))
-            reported.update(_overlapping(endpoints, *scope))
+            reported.update(_overlapping(places, *scope))
     return sorted(
         span
         for span in reported

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -37,27 +38,79 @@ def test_scopes_end():
     assert spans(f"{KEY} {far}{ID}{far} {KEY}") == [("access", ID)]
 
 
+# The weak kinds, written apart from the library's.
+NAMES = re.compile(
+    r"(?:access|client|account|user|tenant|key)(?:_|-)?(?:key(?:_|-)?)?(?:id|name)[\"']?[ ]*[=:][ ]*[\"']?([a-z0-9._@-]{4,})",
+    re.I | re.A,
+)
+PLACES = re.compile(r"((?:https?|s3|ftp|jdbc:[a-z]+|[a-z]+\+?sql|mongodb|redis|amqp)://[^\s\"'<>]{4,})")
+
+
+def keys(text):
+    for m in re.finditer("[A-Za-z0-9+/=_-]+", text):
+        body = m[0].rstrip("=")
+        kinds = [any(c in k for c in body) for k in ("0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")]
+        if len(body) >= 32 and "=" not in body and len(m[0]) - len(body) <= 2 and all(kinds) and len(set(m[0])) >= 12:
+            yield m.start(), 4, m.end()
+
+
+def blocks(text):
+    """The scopes by structure: innermost objects in braces, and runs of setting lines."""
+    open_, pairs = [], []
+    for i, c in enumerate(text):
+        if c == "{":
+            open_.append(i)
+        elif c == "}" and open_:
+            pairs.append((open_.pop(), i + 1))
+    runs, at, first, n = [], 0, 0, 0
+    value = r"""[ \t]*("[^"]*"|'[^']*'|\S*)[ \t]*[,;]?\r?"""
+    for line in text.split("\n"):
+        if re.fullmatch(r"""[ \t]*(export[ \t]+|-[ \t]+)?["']?[\w.-]+["']?[ \t]*[:=]""" + value, line):
+            first, n = (first, n + 1) if n else (at, 1)
+        else:
+            if n > 1:
+                runs.append((first, at - 1))
+            n = 0
+        at += len(line) + 1
+    if n > 1:
+        runs.append((first, at - 1))
+    return pairs, runs
+
+
 def brute_links(text):
-    """Every identifier against every secret and every endpoint."""
+    """Every identifier against every secret and every endpoint, in each of its scopes."""
     found = tasks.base(text)
-    ids = [(s, 3, e) for s, k, e in found if k == 1] + [(m.start(1), 3, m.end(1)) for m in tasks.WEAK_ID.finditer(text)]
-    secrets = [x for x in found if x[1] != 1]
-    secrets += [(m.start(1), 4, m.end(1)) for m in tasks.WEAK_KEY.finditer(text) if tasks._mixed(m[1]) and not any(m.span(1) == (s, e) for s, k, e in found if k == 1)]
-    places = [(m.start(1), 5, m.end(1)) for m in tasks.ENDPOINT.finditer(text)]
-    out = set()
+    access = [(s, e) for s, k, e in found if k == 1]
+    ids = [(s, 3, e) for s, e in access] + [(m.start(1), 3, m.end(1)) for m in NAMES.finditer(text)]
+    secrets = [x for x in found if x[1] != 1] + [x for x in keys(text) if (x[0], x[2]) not in access]
+    places = [(m.start(1), 5, m.end(1)) for m in PLACES.finditer(text)]
+    pairs, runs = blocks(text)
+    scopes = []
     for i in ids:
-        def meets(x, i=i):
-            return x[0] < i[2] + tasks.SCOPE and x[2] > i[0] - tasks.SCOPE
-
-        with_ = [x for x in secrets if meets(x) and (x[0] >= i[2] or x[2] <= i[0])]
-        if with_:
-            out |= {i, *(x for x in with_ if x[1] == 4), *filter(meets, places)}
+        scopes.append(([i], (i[0] - 300, i[2] + 300)))
+    around = {}
+    for i in ids:
+        inner = min((p for p in pairs if p[0] < i[0] < p[1]), key=lambda p: p[1] - p[0], default=None)
+        run = next((r for r in runs if r[0] <= i[0] < r[1]), None)
+        for scope in (inner, run):
+            if scope:
+                around.setdefault(scope, []).append(i)
+    out = set()
+    for own, (low, high) in scopes + [(own, scope) for scope, own in around.items()]:
+        def meets(x, low=low, high=high):
+            return x[0] < high and x[2] > low
+
+        partners = [x for x in secrets if meets(x)]
+        own = [i for i in own if any(x[0] >= i[2] or x[2] <= i[0] for x in partners)]
+        if own:
+            out |= {*own, *filter(meets, places)}
+            out |= {x for x in partners if x[1] == 4 and any(x[0] >= i[2] or x[2] <= i[0] for i in own)}
     return sorted(x for x in out if not any(s <= x[0] and x[2] <= e for s, _, e in found))
 
 
 def test_interval_join_against_all_pairs():
     rng = random.Random(8)
-    parts = [ID, KEY, PLACE, "client_id=robot7", "password: hunter22", "cd" * 15, "user_name = 'ab_cd'", "." * 150, "\n", " ", "é😀", '"', KEY + "=="]
+    parts = [ID, KEY, PLACE, "client_id=robot7", "password: hunter22", "cd" * 15, "user_name = 'ab_cd'", "." * 150, "\n", " ", "é😀", '"', KEY + "==", "{", "}", "\nname = x\n", "xmysql://db.host/a", "jdbc:postgresql://h/d", "a+sql://hhhh"]
     some = 0
     for _ in range(1500):
         text = "".join(rng.choice(parts) + rng.choice(["", " ", " "]) for _ in range(rng.randrange(25)))
@@ -67,6 +120,26 @@ def test_interval_join_against_all_pairs():
     assert some > 300
 
 
+def test_endpoints_are_those_of_the_pattern():
+    rng = random.Random(9)
+    parts = ["http", "https", "s3", "ftp", "jdbc:", "my", "sql", "+", "://", ":", "/", "//", "redis", "amqp", "Q", "9", " ", '"', "abcd", "mongodb"]
+    some = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        want = [(m.start(1), 5, m.end(1)) for m in PLACES.finditer(text)]
+        assert tasks.endpoints(text) == want, text
+        some += bool(want)
+    assert some > 1000
+
+
+@pytest.mark.parametrize("run", ["a", "A", "7", "a1", "aB3", "=", "+", "/", "://", "a:", "{", "}", " ", "\n", "a=b\n", f"{ID} ", "é", "key_id ", "token "])
+def test_a_million_characters_of_any_kind_take_seconds(run):
+    text = f"{ID} password=hunter22 {KEY} " + run * (1_000_000 // len(run)) + " end"
+    start = time.process_time()
+    assert tasks.linked(text, tasks.base(text)) is not None
+    assert time.process_time() - start < 8
+
+
 def slow_base(text):
     """The base kinds without the library's search: each start in turn."""
     patterns = [
