@@ -116,13 +116,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, upper, upper.lower()), path
 
 
-def candidate_keys(host: Column, path: Column, lengths: list[int]) -> Column:
+def candidate_keys(host: Column, path: Column, lengths: list[int], label_counts: list[int]) -> Column:
     """Every key that a rule for this url could have, the longest rule text first, then the
-    longer host. Paths are tried in the lengths that occur among the rules."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+    longer host. Hosts are tried with the numbers of labels, and paths in the lengths, that occur
+    among the rules, so that the keys of a url are no longer than it is, times these numbers."""
+    n_labels = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    suffixes = F.filter(
+        F.array(*[F.when(n_labels >= n, F.substring_index(host, ".", -n)) for n in label_counts]),
+        lambda suffix: suffix.isNotNull(),
     )
     starts = F.filter(
         F.array(*[F.when(F.length(path) >= n, F.substr(path, F.lit(1), F.lit(n))) for n in lengths]),
@@ -151,16 +152,19 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """``(page_id, host, path, rule, verdict)`` for ``pages`` (page_id, url).
 
     ``rules`` has ``host, path, action`` (allow or block). A rule given with both actions
-    blocks; one without a host fits nothing. The rules' path lengths, a handful of numbers, come to the driver.
+    blocks; one without a host fits nothing. The path lengths and numbers of labels that
+    occur among the rules, a handful of numbers, come to the driver.
     """
+    labels = F.size(F.split("host", r"\."))
     rules = rules.filter("host != ''").select(
-        F.concat("host", "path").alias("key"), F.length("path").alias("n"), "action"
+        F.concat("host", "path").alias("key"), F.length("path").alias("n"), labels.alias("labels"), "action"
     ).filter(F.col("key").isNotNull())
-    lengths = [row["n"] for row in rules.select("n").distinct().orderBy("n").collect()]
+    shapes = rules.agg(F.sort_array(F.collect_set("n")), F.sort_array(F.collect_set("labels"))).first()
+    lengths, label_counts = shapes[0] or [1], shapes[1] or [1]
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     keyed = urls.withColumn(
-        "_keys", candidate_keys(F.col("host"), F.col("path"), lengths or [1])
+        "_keys", candidate_keys(F.col("host"), F.col("path"), lengths, label_counts)
     )
     universe = keyed.select(F.explode("_keys").alias("key"))
     of_any = build(rules.select("key"), universe)

@@ -69,3 +69,16 @@ def test_empty_tables(spark):
 def test_a_rule_given_twice_blocks_if_either_does(spark, action):
     rules = [("com", "/", action), ("com", "/", "block"), ("com", "/", "block")]
     assert judged(spark, ["http://x.com/"], rules)[0].verdict == "block"
+
+
+@pytest.mark.parametrize("url", ["http://" + "a." * 250_000 + "example.com/en/x", "http://example.com/en/" + "x/" * 250_000, "http://" + "." * 500_000])
+def test_a_url_of_half_a_megabyte(spark, url):
+    """No key is longer than the url, however many labels it has."""
+    rules = [*U.RULES, ("a.a.a.example.com", "/en/", "block")]
+    found = judged(spark, [url, "http://b.net/fr/"], rules)
+    r = found[0]
+    assert (r.host, r.path, r.rule, r.verdict) == brute(url, rules)
+    keys = spark.createDataFrame([(url,)], "url string")
+    host, path = U.host_and_path(keys.url)
+    size = keys.select(U.candidate_keys(host, path, [1, 4], [1, 2, 5]).alias("k")).selectExpr("sum(length(concat_ws('', k)))")
+    assert size.first()[0] <= 6 * len(url)
