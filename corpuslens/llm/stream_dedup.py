@@ -19,7 +19,9 @@ also share the doc_id, the one last by file and row. Other columns, whatever the
 are ignored by ``deduplicate`` and kept by ``without_copies``. An empty table gives no row.
 """
 
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from corpuslens.llm.stored import on_file, shared_folder, stored
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+MOST_BROADCAST = 100_000  # places of hits, some 200 bytes each
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -35,7 +38,7 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     # Stores of one executor share this memory, and give it back when they have committed.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
@@ -59,21 +62,18 @@ def located(docs: DataFrame) -> DataFrame:
 
 
 def _into_state(landing: str, state: str, spark, schema) -> None:
-    """Run all landed files that are new to the state through the stream."""
+    """Run all landed files that are new to the state through the stream, in a session of its own, so
+    that its settings are nobody else's."""
+    spark = spark.newSession()
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     rows = spark.readStream.schema(schema).parquet(landing)
     seen = rows.groupBy("digest").agg(
         F.max(F.struct("doc_id", "file", "row")).alias("newest"), F.count("*").alias("n")
     )
-    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
-    for name, value in STATE_SETTINGS.items():
-        spark.conf.set(name, value)
-    try:
-        seen.writeStream.outputMode("update").format("noop").option(
-            "checkpointLocation", state
-        ).trigger(availableNow=True).start().awaitTermination()
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    seen.writeStream.outputMode("update").format("noop").option(
+        "checkpointLocation", state
+    ).trigger(availableNow=True).start().awaitTermination()
 
 
 def deduplicate(
@@ -100,8 +100,16 @@ def deduplicate(
 
     landed = spark.read.schema(rows.schema).parquet(landing)
     groups = _groups(spark, state)
-    odd = stored(_differing(contents, groups, digest))
-    return _decisions(landed, groups, odd)
+    hits = stored(
+        landed.join(groups.filter("group_size > 1"), "digest").select(
+            "doc_id",
+            "digest",
+            "file",
+            "row",
+            ((F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row"))).alias("stays"),
+        )
+    )
+    return _decisions(landed, groups, stored(_differing(contents, hits)))
 
 
 def _groups(spark, state: str) -> DataFrame:
@@ -117,15 +125,36 @@ def _groups(spark, state: str) -> DataFrame:
     )
 
 
-def _differing(contents: DataFrame, groups: DataFrame, digest) -> DataFrame:
+def _contents(current: DataFrame, hits: DataFrame) -> DataFrame:
+    """``(file, row, content)`` of the rows of ``hits``: of this call's documents, and of earlier
+    ones from the files that the locators name."""
+    place = ["file", "row"]
+    files = current.select("file").distinct()
+    earlier = [r["file"] for r in hits.select("file").distinct().join(files, "file", "left_anti").collect()]
+    found = current.select(*place, "content").join(_small(hits.select(place)), place)
+    if earlier:
+        old = located(current.sparkSession.read.schema("text string").parquet(*map(_path, earlier)))
+        old = old.select(*place, normalised(F.col("document.text")).alias("content"))
+        found = found.unionByName(old.join(_small(hits.select(place)), place))
+    return found
+
+
+def _path(file: str) -> str:
+    """The path of a locator, which is a URL."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", unquote(file))
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows``, broadcast if they are few, so that only what they match is shuffled."""
+    return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
+
+
+def _differing(current: DataFrame, hits: DataFrame) -> DataFrame:
     """Rows of hit digests whose bytes differ from those of the row that stays."""
-    hits = groups.filter("group_size > 1").select("digest", "keep_file", "keep_row")
-    staying = contents.join(
-        hits,
-        (F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row")),
-    ).select("digest", F.col("content").alias("_staying"))
-    members = contents.select("doc_id", "file", "row", digest(F.col("content")).alias("digest"), "content")
-    return members.join(staying, "digest").filter(F.col("content") != F.col("_staying")).drop("_staying")
+    texts = stored(hits.join(_contents(current, hits), ["file", "row"]))
+    staying = texts.filter("stays").select("digest", F.col("content").alias("_staying"))
+    others = texts.filter("NOT stays").drop("stays")
+    return others.join(staying, "digest").filter(F.col("content") != F.col("_staying")).drop("_staying")
 
 
 def _decisions(landed: DataFrame, groups: DataFrame, odd: DataFrame) -> DataFrame:

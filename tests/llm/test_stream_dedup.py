@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpuslens.llm import stream_dedup as S
@@ -64,6 +65,34 @@ def test_state_lasts_over_calls(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("broadcast", [0, 100])
+@pytest.mark.parametrize("first, second", [((9, "alpha"), (3, "beta")), ((3, "beta"), (9, "alpha"))])
+def test_bytes_decide_across_calls(spark, tmp_path, monkeypatch, first, second, broadcast):
+    """Digests collide; what an earlier call saw is read from the files that locators name."""
+    monkeypatch.setattr(S, "MOST_BROADCAST", broadcast)
+    folder = str(tmp_path / "dedup")
+    for name, rows in (("a b [1]", [first, (50, "lone")]), ("c", [second, (7, second[1].upper())])):
+        path = str(tmp_path / name)
+        documents(spark, rows).write.parquet(path)
+        last = S.deduplicate(spark.read.parquet(path.replace("[", "\\[").replace("]", "\\]")), folder, digest=lambda text: F.lit("same"))
+    found = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in last.collect()}
+    keep = max(second[0], 7)
+    assert found == {
+        first[0]: (first[0], 1, True),
+        50: (50, 1, True),
+        second[0]: (keep, 2, keep == second[0]),
+        7: (keep, 2, keep == 7),
+    }
+
+
+def test_only_hits_are_shuffled(spark):
+    rows = [(i, "copy" if i < 4 else f"text {i}") for i in range(100)]
+    contents = S.located(S.on_file(documents(spark, rows))).selectExpr("document.text AS content", "file", "row")
+    hits = contents.filter("content = 'copy'").select("file", "row")
+    plan = S._contents(contents, hits)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan
+
+
 def test_a_group_with_a_third_of_the_rows(spark):
     rows = [(i, "copy" if i % 3 == 0 else f"text {i}") for i in range(6000)]
     found = S.deduplicate(documents(spark, rows))
