@@ -17,7 +17,8 @@ CUT = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 SPLIT = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
-MOST_KEPT = 1 << 19  # words, and as many cuts, whose ids a task remembers at a time
+MOST_KEPT = 1 << 19  # words, and as many cuts, whose ids a task remembers at a time,
+LONGEST_KEPT = 64  # each of so many characters at most
 
 
 def byte_characters():
@@ -110,7 +111,9 @@ class Encoder:
             if len(self.words) >= MOST_KEPT:
                 self.words.clear()
             symbols = list(map(self.symbol, word.encode()))
-            ids = self.words[word] = merged(symbols, self.vocabulary.merges, self.vocabulary.result)
+            ids = merged(symbols, self.vocabulary.merges, self.vocabulary.result)
+            if len(word) <= LONGEST_KEPT:
+                self.words[word] = ids
         return ids
 
     def cut(self, cut):
@@ -118,7 +121,9 @@ class Encoder:
             return self.word(cut)
         if len(self.cuts) >= MOST_KEPT:
             self.cuts.clear()
-        ids = self.cuts[cut] = tuple(chain.from_iterable(map(self.word, SPLIT.findall(cut))))
+        ids = tuple(chain.from_iterable(map(self.word, SPLIT.findall(cut))))
+        if len(cut) <= LONGEST_KEPT:
+            self.cuts[cut] = ids
         return ids
 
     def plain(self, text):

@@ -15,8 +15,9 @@ from corpuslens.llm import text_tasks as T
 
 # Fixed value: the pattern whose matches are the words; anything else is dropped.
 SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{B.SPACE}\p{{L}}\p{{N}}]+")
-SLICE_BYTES = 4 << 20
-MOST_KEPT = 1 << 19
+SLICE_BYTES = 1 << 20
+MOST_KEPT = 1 << 18  # runs whose ids a task remembers at a time,
+MOST_BYTES = 8 << 20  # and their characters
 LONG_WORD = 64  # bytes; such words are merged one by one
 
 
@@ -55,16 +56,17 @@ class WordEncoder:
         self.forget()
 
     def forget(self):
-        self.runs, self.words = {}, {}
+        self.runs, self.words, self.kept = {}, {}, 0
         self.ids_of_runs, self.ids_of_words = Ragged(), Ragged()
 
     def rows(self, runs):
         """For each run (text without white space) the number of its row in ``ids_of_runs``."""
-        if len(self.runs) > MOST_KEPT:
+        if len(self.runs) > MOST_KEPT or self.kept > MOST_BYTES:
             self.forget()
         known = self.runs
         new = [r for r in runs if r not in known]
         if new:
+            self.kept += sum(map(len, new))
             parts, bounds, words = self._words(new)
             self._encode(words)
             values, at = self.ids_of_words.rows(parts)
