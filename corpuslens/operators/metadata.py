@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions import headers as H
+from corpuslens.functions.header_forms import LADDERS, laddered
 from corpuslens.functions.tokens import settled
 
 
@@ -19,6 +20,28 @@ def metadata(books: DataFrame, key: str = "file_name") -> DataFrame:
     ).withColumn("release_year", H.release_year(F.col("release_date")))
 
 
+def metadata_by_form(books: DataFrame, key: str = "file_name") -> DataFrame:
+    """One row per book: each field and the form it was found in (``header_forms.LADDERS``), null
+    where no form matches."""
+    text = F.col("text")
+    found = books.select(key, *[laddered(text, field).alias(f"_{field}") for field in LADDERS])
+    return settled(found).select(
+        key,
+        *[
+            column
+            for field in LADDERS
+            for column in (F.col(f"_{field}.value").alias(field), F.col(f"_{field}.form").alias(f"{field}_form"))
+        ],
+    )
+
+
+def form_counts(by_form: DataFrame) -> DataFrame:
+    """``(field, form, n)``: how many books have a field in each form; form is null for those without."""
+    forms = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"{f}_form").alias("form")) for f in LADDERS])
+    rows = settled(by_form.select(forms.alias("forms"))).select(F.explode("forms").alias("f"))
+    return rows.groupBy("f.field", "f.form").agg(F.count("*").alias("n"))
+
+
 def books_per_year(meta: DataFrame) -> DataFrame:
     return (
         settled(meta.select("release_year"))

@@ -51,6 +51,20 @@ def _dated(label: str) -> str:
     return f"CASE WHEN regexp_matches(text, '{pattern}') THEN {value} END"
 
 
+_HEADING = r"(?m)^[^\n]*Project Gutenberg E(?:Book|book|Text|text) of[ \t]+(.+?)(?:,[ \t]+by[ \t].*)?$"
+FORMS = f"""forms AS (
+  SELECT doc_id, coalesce(title, heading) AS title,
+    CASE WHEN title IS NOT NULL THEN 'label' WHEN heading IS NOT NULL THEN 'heading' END AS title_form,
+    coalesce(release, posting) AS release_date,
+    CASE WHEN release IS NOT NULL THEN 'release' WHEN posting IS NOT NULL THEN 'posting' END AS release_date_form,
+    language, CASE WHEN language IS NOT NULL THEN 'label' END AS language_form,
+    encoding, CASE WHEN encoding IS NOT NULL THEN 'label' END AS encoding_form
+  FROM (SELECT doc_id, {_labelled("Title")} AS title,
+    CASE WHEN regexp_matches(text, '{_HEADING}') THEN regexp_extract(text, '{_HEADING}', 1) END AS heading,
+    {_dated("Release [Dd]ate")} AS release, {_dated("Posting Date")} AS posting,
+    {_labelled("Language")} AS language, {_labelled("Character set encoding")} AS encoding
+  FROM books)
+)"""
 META = f"""meta AS (
   SELECT doc_id, title, release_date, language, encoding,
     try_cast(regexp_extract(release_date, '([0-9]{{4}})', 1) AS INTEGER) AS release_year
@@ -204,6 +218,13 @@ def oracle_sql() -> dict[str, str]:
         "avg_title_length": _META
         + "SELECT round(avg(length(title)), 6) AS avg_title_length FROM meta",
         "metadata_coverage": _META + f"SELECT count(*) AS total_books, {coverage} FROM meta",
+        "metadata_by_form": _with(BOOKS, FORMS) + "SELECT * FROM forms",
+        "metadata_forms": _with(BOOKS, FORMS)
+        + """SELECT field, form, count(*) AS n FROM (
+               SELECT 'title' AS field, title_form AS form FROM forms
+               UNION ALL SELECT 'release_date', release_date_form FROM forms
+               UNION ALL SELECT 'language', language_form FROM forms
+               UNION ALL SELECT 'encoding', encoding_form FROM forms) GROUP BY ALL""",
         "metadata_quality": _META
         + """SELECT doc_id, title IS NULL AS no_title, release_date IS NULL AS no_release_date,
              language IS NULL AS no_language, encoding IS NULL AS no_encoding,

@@ -132,6 +132,8 @@ def queries() -> dict[str, Query]:
                 M.metadata_coverage(m), "pct_title", "pct_date", "pct_language", "pct_encoding"
             )
         ),
+        "metadata_by_form": _books(lambda b: M.metadata_by_form(b, KEY)),
+        "metadata_forms": _books(lambda b: M.form_counts(M.metadata_by_form(b, KEY))),
         "metadata_quality": _metadata(lambda m: M.metadata_quality(m, KEY)),
         # tokens
         "strip_boilerplate": _books(text_functions.strip_boilerplate),
