@@ -37,7 +37,7 @@ from corpuslens.llm.batches import batch_count, in_batches
 from corpuslens.llm.stored import stored
 
 DEPTH = 5
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 18 << 20
 
 # Tasks get these functions with the query and need no copy of the package.
 cloudpickle.register_pickle_by_value(text_tasks)
