@@ -6,8 +6,8 @@ passes over them in lockstep:
 1. Texts are dealt into batches. A batch sends hashes of its phrases of one to three words with
    their numbers, packed, to buckets of hashes, and is told which occur ``least`` times in
    the corpus; a part of a frequent phrase is frequent too. A hash only chooses: the batch
-   writes those phrases out in words, and they are counted exactly. So the many rare phrases
-   are never rows.
+   writes those phrases out in words, in sorted and compressed pieces for buckets of phrases,
+   which add them up exactly. So the many rare phrases are never rows.
 2. The counts are laid out twice, sorted by their words forwards (prefix order) and
    backwards (suffix order), in ranges of equal size. In prefix order a phrase stands after
    its first word and its first two words and before its extensions to the right; in suffix
@@ -68,14 +68,11 @@ def frequent(docs: DataFrame, least: int = LEAST) -> DataFrame:
         dealt.groupBy("batch")
         .cogroup(answers.groupBy("batch"))
         .applyInArrow(
-            lambda texts, keys: phrase_tasks.counted(texts, keys, bits),
-            "lang string, w1 string, w2 string, w3 string, n long",
+            lambda texts, keys: phrase_tasks.counted(texts, keys, bits, n_batches), "bucket int, rows binary"
         )
     )
-    return (
-        counts.groupBy("lang", *WORDS)
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("w1").isNull() | (F.col("n") >= least))
+    return counts.groupBy("bucket").applyInArrow(
+        lambda rows: phrase_tasks.summed(rows, least), "lang string, w1 string, w2 string, w3 string, n long"
     )
 
 

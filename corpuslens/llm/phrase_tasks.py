@@ -5,11 +5,12 @@ Nothing here knows Spark.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 from corpuslens.llm import text_tasks as T
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 LONGEST = 3
 FOLD = np.uint64(0x9E3779B97F4A7C15)
 NO_LANGUAGE = "und"
@@ -117,9 +118,10 @@ def _grouped(*columns):
     return first, group
 
 
-def counted(documents, answers, bits):
+def counted(documents, answers, bits, n_buckets):
     """For a batch: rows ``(lang, w1, w2, w3, n)`` of its phrases whose keys were answered, their
-    words written out, and of each language a row without words for all its words."""
+    words written out, and of each language a row without words for all its words; sorted,
+    compressed, a piece for each bucket."""
     often = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(x.as_py()) for x in answers["keys"])])
     often.sort()
     words, names, held, totals = {}, {}, [], {}
@@ -138,25 +140,55 @@ def counted(documents, answers, bits):
         columns = [np.concatenate(x) for x in zip(*rows, strict=True)]
         first, group = _grouped(*columns)
         held.append([*(c[first] for c in columns), np.bincount(group, minlength=len(first))])
+    whole = [[x, 0, 0, 0, n] for x, n in totals.items() if n]
+    held.append(np.array(whole, np.int64).reshape(-1, 5).T)
     columns = [np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*held, strict=True)]
     first, group = _grouped(*columns[:-1])
     numbers = np.bincount(group, columns[-1], len(first)).astype(np.int64)
-    dictionary = pa.array([None, *words], pa.large_string())
-    total = {names_of: n for names_of, n in zip(names, map(totals.get, range(len(names))), strict=True) if n}
-    lang = pa.array(list(names), pa.string()).take(pa.array(columns[0][first]))
-    none = pa.nulls(len(total), pa.string())
+    columns = [c[first] for c in columns[:-1]]
+    used = np.unique(np.concatenate(columns[1:]))
+    spelled = [None, *words]
+    spelled = pa.array([spelled[i] for i in used.tolist()], pa.string())
+    of_word = np.append(T.hashed(spelled.drop_null()), np.uint64(0))
+    places = [np.searchsorted(used, c) for c in columns[1:]]
+    has_none = len(used) > 0 and used[0] == 0
+    bucket = _hashes(list(names))[columns[0]] if names else np.zeros(0, np.uint64)
+    for at in places:
+        bucket = T.mixed(bucket * FOLD + of_word[at - has_none])
+    bucket = (bucket % np.uint64(n_buckets)).astype(np.int64)
+    order = np.lexsort((*places[::-1], columns[0], bucket))
+    table = pa.record_batch(
+        {
+            "lang": pa.array(list(names), pa.string()).take(pa.array(columns[0][order])),
+            **{f"w{i + 1}": spelled.take(pa.array(at[order])) for i, at in enumerate(places)},
+            "n": numbers[order],
+        }
+    )
+    cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1)).tolist()
+    pieces = [(b, table.slice(x, y - x)) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
     return pa.table(
         {
-            "lang": pa.chunked_array([lang, pa.array(list(total), pa.string())]),
-            **{
-                f"w{i + 1}": pa.chunked_array([dictionary.take(pa.array(columns[i + 1][first])).cast(pa.string()), none])
-                for i in range(LONGEST)
-            },
-            "n": pa.chunked_array([pa.array(numbers), pa.array(list(total.values()), pa.int64())]),
+            "bucket": pa.array([b for b, _ in pieces], pa.int32()),
+            "rows": pa.array([_written(rows) for _, rows in pieces], pa.binary()),
         }
     )
 
 
+def _written(rows):
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def summed(table, least):
+    """For a bucket: its rows added up, those of phrases of less than ``least`` left out."""
+    rows = pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in table["rows"]])
+    keys = ["lang", "w1", "w2", "w3"]
+    sums = rows.group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+    return sums.filter(pc.or_(pc.is_null(sums["w1"]), pc.greater_equal(sums["n"], least)))
+
+
 # --- the lockstep pass ---------------------------------------------------------
 
 
