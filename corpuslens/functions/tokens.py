@@ -51,10 +51,14 @@ def strip_boilerplate(books: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def long_words(text: Column) -> Column:
+    """Lower-case letter runs longer than two."""
+    return F.regexp_extract_all(F.lower(text), F.lit(P.CONTENT_WORD), F.lit(0))
+
+
 def content_words(text: Column) -> Column:
-    """Words for similarity: lower-case letter runs longer than two, no stop words."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(P.CONTENT_WORD), F.lit(0))
-    return F.filter(words, lambda word: ~word.isin(*P.STOP_WORDS))
+    """Words for similarity: ``long_words`` without the stop words."""
+    return F.filter(long_words(text), lambda word: ~word.isin(*P.STOP_WORDS))
 
 
 def counted_words(text: Column) -> Column:

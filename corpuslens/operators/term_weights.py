@@ -3,23 +3,29 @@
 A document is one row, so its terms are counted within the row, without a shuffle.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.functions.tokens import content_words, settled, strip_boilerplate, word_rows
+from corpuslens.functions.tokens import content_words, long_words, settled, strip_boilerplate, word_rows
 from corpuslens.operators.kept import Kept
 from corpuslens.operators.lookup import join_lookup
+from corpuslens.operators.stop_words import without_stop_words
 
+UNITS = 2.0**52
 
-def _words(books: DataFrame, key: str) -> DataFrame:
-    return strip_boilerplate(books.select(key, "text")).select(
-        key, content_words(F.col("text")).alias("words")
-    )
 
+def _words(books: DataFrame, key: str, words: Callable[[Column], Column] = content_words) -> DataFrame:
+    return strip_boilerplate(books.select(key, "text")).select(key, words(F.col("text")).alias("words"))
 
-def tokens(books: DataFrame, key: str = "file_name") -> DataFrame:
-    """``(key, word)``: one row per token."""
-    return word_rows(_words(books, key), "words")
+
+def tokens(books: DataFrame, key: str = "file_name", stop_words: DataFrame | None = None) -> DataFrame:
+    """``(key, word)``: one row per token. ``stop_words`` (word), of any size, replaces the list."""
+    if stop_words is None:
+        return word_rows(_words(books, key), "words")
+    rows = word_rows(_words(books, key, long_words), "words")
+    return without_stop_words(rows, stop_words).select(key, "word")
 
 
 def token_count(books: DataFrame, key: str = "file_name") -> DataFrame:
@@ -129,10 +135,22 @@ def tfidf(books: DataFrame | Terms, key: str = "file_name") -> DataFrame:
     return weighted(terms).select(terms.key, "word", "tf", "idf", "tfidf")
 
 
+def exact_sum(products: Column) -> Column:
+    """The sum of products of two TF-IDF weights, which depends neither on the order of the rows nor
+    on how they are partitioned: each is rounded to a multiple of 2**-52 and these are added up as
+    integers.
+
+    None overflows, whatever the corpus: the TF of a document add up to 1, so such a sum over a
+    document's words is at most the greatest idf squared, ln(2**63) ** 2 = 1907, and 1907 * 2**52
+    is below 2**63.
+    """
+    return F.sum(F.rint(products * UNITS).cast("bigint")) / UNITS
+
+
 def document_norms(weights: DataFrame, key: str = "file_name") -> DataFrame:
     """``(key, norm)``: Euclidean length of each document's TF-IDF vector."""
     return weights.groupBy(key).agg(
-        F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf"))).alias("norm")
+        F.sqrt(exact_sum(F.col("tfidf") * F.col("tfidf"))).alias("norm")
     )
 
 

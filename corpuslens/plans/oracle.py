@@ -234,6 +234,7 @@ def oracle_sql() -> dict[str, str]:
              FROM meta""",
         "strip_boilerplate": _with(BOOKS, _stripped("books")) + "SELECT * FROM stripped",
         "tokenize": _with(*OF_DOCUMENTS) + "SELECT * FROM tokens",
+        "tokenize_by_table": _with(*OF_DOCUMENTS) + "SELECT * FROM tokens",
         "tokenize_books": _with(BOOKS, _stripped("books"), TOKENS) + "SELECT * FROM tokens",
         "token_count": _with(*OF_DOCUMENTS) + "SELECT count(*) AS tokens FROM tokens",
         "tokens_per_doc": _with(*OF_DOCUMENTS)

@@ -16,6 +16,7 @@ from corpuslens.operators import similarity as S
 from corpuslens.operators import term_weights as T
 from corpuslens.operators.adjacency import adjacency, edges_of, numbered
 from corpuslens.operators.network_feed import feed, known_edges
+from corpuslens.operators.stop_words import usual_stop_words
 from corpuslens.operators.word_count import word_count
 from corpuslens.sources import files, tables
 from corpuslens.sources.shared import run_folder
@@ -138,6 +139,9 @@ def queries() -> dict[str, Query]:
         # tokens
         "strip_boilerplate": _books(text_functions.strip_boilerplate),
         "tokenize": _documents(lambda d: T.tokens(d, KEY)),
+        "tokenize_by_table": _documents(
+            lambda d: T.tokens(d, KEY, usual_stop_words(d.sparkSession))
+        ),
         "tokenize_books": _books(lambda b: T.tokens(b, KEY)),
         "token_count": _documents(lambda d: T.token_count(d, KEY)),
         "tokens_per_doc": _documents(lambda d: T.tokens_per_document(d, KEY)),

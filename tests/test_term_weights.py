@@ -1,9 +1,11 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import brute_force
+from corpuslens.operators import similarity as S
 from corpuslens.operators import term_weights as T
 
 TEXTS = ("cat dog cat", "cat bird", "the", "dog dog dog fish", None)
@@ -82,3 +84,30 @@ def test_idf_extremes(books):
 
 def test_no_documents(books):
     assert T.tfidf(books("cat").filter(F.lit(False))).count() == 0
+
+
+def test_sums_do_not_depend_on_the_partitions(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 7))) for _ in range(400)]
+    texts = [(f"{i}.txt", " ".join(rng.choice(words[: 5 + 4 * i]) for _ in range(rng.randrange(3, 300)))) for i in range(90)]
+    found = set()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (1, 7, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            rng.shuffle(texts)
+            books = spark.createDataFrame(texts, "file_name string, text string").repartition(partitions)
+            with T.term_tables(books) as terms:
+                norms = T.document_norms(T.tfidf(terms)).collect()
+                near = S.top_similar(terms, "10.txt", 50, digits=None).collect()
+            found.add((frozenset(map(tuple, norms)), tuple(map(tuple, near))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found) == 1
+
+
+def test_exact_sums_are_near_the_sums(spark):
+    rng = random.Random(7)
+    values = [rng.random() ** 8 for _ in range(5000)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    assert frame.agg(T.exact_sum(F.col("v"))).first()[0] == pytest.approx(math.fsum(values), abs=1e-12)
