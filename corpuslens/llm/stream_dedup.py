@@ -63,9 +63,10 @@ def located(docs: DataFrame) -> DataFrame:
 
 def _into_state(landing: str, state: str, spark, schema) -> None:
     """Run all landed files that are new to the state through the stream, in a session of its own, so
-    that its settings are nobody else's."""
+    that its settings are nobody else's; all others are those of the caller's session."""
+    settings = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.") and spark.conf.isModifiable(k)}
     spark = spark.newSession()
-    for name, value in STATE_SETTINGS.items():
+    for name, value in (settings | STATE_SETTINGS).items():
         spark.conf.set(name, value)
     rows = spark.readStream.schema(schema).parquet(landing)
     seen = rows.groupBy("digest").agg(

@@ -98,3 +98,17 @@ def test_a_group_with_a_third_of_the_rows(spark):
     found = S.deduplicate(documents(spark, rows))
     assert found.filter("kept").count() == 4001
     assert found.filter("keep_id = 5997 AND group_size = 2000").count() == 2000
+
+
+def test_the_session_keeps_its_settings_and_the_stream_has_them(spark):
+    names = ["spark.sql.shuffle.partitions", *S.STATE_SETTINGS]
+    before = {n: spark.conf.get(n, None) for n in names}
+    spark.conf.set("spark.sql.shuffle.partitions", 3)
+    try:
+        folder = f"{S.shared_folder(spark)}/three"
+        S.deduplicate(documents(spark, [(i, f"t{i}") for i in range(20)]), folder)
+        state = spark.read.format("statestore").load(f"{folder}/state")
+        assert state.select("partition_id").distinct().count() <= 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before["spark.sql.shuffle.partitions"])
+    assert {n: spark.conf.get(n, None) for n in names} == before
