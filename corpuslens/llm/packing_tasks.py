@@ -193,6 +193,9 @@ def pieces(batches, vocabulary, capacity, end):
                 ],
                 [*others, "piece", "start", "length", "ids"],
             )
+    # The worker lives on after the task; what it no longer uses goes back to the machine.
+    encoder.forget()
+    pa.default_memory_pool().release_unused()
 
 
 # --- the plan -----------------------------------------------------------------
