@@ -196,6 +196,12 @@ def oracle_sql() -> dict[str, str]:
             "encoding": "encoding",
         }.items()
     )
+    top_similar = (
+        _PAIRS
+        + """SELECT CASE WHEN book_a = 10 THEN book_b ELSE book_a END AS similar,
+             round(cosine_similarity, 6) AS cosine
+             FROM pairs WHERE book_a = 10 OR book_b = 10 ORDER BY 2 DESC, 1 LIMIT 5"""
+    )
     return {
         "documents_as_books": r"""SELECT doc_id || '.txt' AS file_name,
             replace(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(65533), '') AS text
@@ -271,10 +277,8 @@ def oracle_sql() -> dict[str, str]:
         "pairs_above": _PAIRS
         + """SELECT book_a, book_b, round(cosine_similarity, 6) AS cosine_similarity
              FROM pairs WHERE round(cosine_similarity, 6) >= 0.6""",
-        "top_similar": _PAIRS
-        + """SELECT CASE WHEN book_a = 10 THEN book_b ELSE book_a END AS similar,
-             round(cosine_similarity, 6) AS cosine
-             FROM pairs WHERE book_a = 10 OR book_b = 10 ORDER BY 2 DESC, 1 LIMIT 5""",
+        "top_similar": top_similar,
+        "indexed_similar": top_similar,
         "author_extract": _with(BOOKS, AUTHORS) + "SELECT * FROM authors",
         "author_years": _with(BOOKS, AUTHORS, AUTHOR_YEARS) + "SELECT * FROM author_years",
         "first_author_years": _with(BOOKS, AUTHORS, AUTHOR_YEARS)

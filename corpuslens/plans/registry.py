@@ -16,6 +16,7 @@ from corpuslens.operators import similarity as S
 from corpuslens.operators import term_weights as T
 from corpuslens.operators.adjacency import adjacency, edges_of, numbered
 from corpuslens.operators.network_feed import feed, known_edges
+from corpuslens.operators.posting_index import build_index, search
 from corpuslens.operators.stop_words import usual_stop_words
 from corpuslens.operators.word_count import word_count
 from corpuslens.sources import files, tables
@@ -94,6 +95,13 @@ def _edges_of_the_last_tenth(dated: DataFrame) -> DataFrame:
     return I.edges_added(dated.filter(~added), dated.filter(added), WINDOW)
 
 
+def _indexed_similar(spark: SparkSession, directory: str) -> DataFrame:
+    """``top_similar`` through an index that is written first."""
+    docs = tables.documents(spark, directory)
+    index = build_index(T.term_tables(docs, KEY), run_folder(spark, "index"))
+    return search(index, docs, TARGET, k=5)
+
+
 def _fed_network(spark: SparkSession, directory: str) -> DataFrame:
     """The network after books came in three lots, each taken in by a stream of its own run."""
     folder = run_folder(spark, "network")
@@ -166,6 +174,7 @@ def queries() -> dict[str, Query]:
         "top_pairs": _terms(lambda t: S.top_pairs(t, k=20)),
         "pairs_above": _terms(lambda t: S.pairs_above(t, 0.6)),
         "top_similar": _terms(lambda t: S.top_similar(t, TARGET, k=5)),
+        "indexed_similar": _indexed_similar,
         # influence network
         "author_extract": _books(lambda b: I.authors_and_years(b, KEY)),
         "author_years": _dated(lambda a: a),
