@@ -85,3 +85,55 @@ def test_partial_counts_stay_bounded(monkeypatch):
     monkeypatch.setattr(tasks, "MOST_KEYS", 100)
     monkeypatch.setattr(tasks, "SLICE_BYTES", 200)
     assert counted() == whole
+
+
+def brute_places(gram, bits):
+    """The two places of a gram: 64-bit finaliser of MurmurHash3, in plain integers."""
+    h = (int.from_bytes(gram, "big") + 0x9E3779B97F4A7C15) % 2**64
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ h >> 33) * factor % 2**64
+    h ^= h >> 33
+    return h % 2**bits, (h >> 32) % 2**bits
+
+
+def brute_predictions(texts, training, rarity, bits):
+    counts = {}
+    for text, lang in training:
+        if text is not None and lang is not None:
+            for g in brute_grams(text):
+                own = counts.setdefault(lang, {})
+                own[g] = own.get(g, 0) + 1
+    filters = {}
+    for lang, own in counts.items():
+        listed = [g for g, n in own.items() if n * rarity >= sum(own.values())]
+        places = {p for g in listed for p in brute_places(g, bits)}
+        if places:  # a language that lists nothing is not learned
+            filters[lang] = places, (len(places) / 2**bits) ** 2
+    out = []
+    for text in texts:
+        if not filters or not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        grams = brute_grams(text)
+        share = {}
+        for lang, (places, wrong) in filters.items():
+            hits = sum(all(p in places for p in brute_places(g, bits)) for g in grams)
+            share[lang] = (hits / len(grams) - wrong) / max(1e-9, 1 - wrong)
+        best = min(share, key=lambda lang: (-share[lang], lang))
+        out.append((best, min(1.0, max(0.0, share[best]))))
+    return out
+
+
+@pytest.mark.parametrize("rarity, bits", [(50_000, 20), (300, 10), (40, 7)])
+def test_predictions_against_brute_force(spark, rarity, bits):
+    """Also with filters so small that false positives are many and must be corrected."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang").limit(60).collect()
+    training = [(r.text, r.lang) for r in rows[:40]] + [(None, "fr"), ("x", None), ("", "de")]
+    texts = [r.text for r in rows[40:]] + [" ".join((r.text or "").split()[:2]) for r in rows[:20]] + [None, "", "12 !", "é", "a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = L.predict(docs, spark.createDataFrame(training, "text string, lang string"), rarity, bits)
+    expected = brute_predictions(texts, training, rarity, bits)
+    for r in found.collect():
+        name, score = expected[r.doc_id]
+        assert r.lang_pred == name
+        assert r.score == pytest.approx(score, abs=1e-9)
