@@ -15,9 +15,9 @@ from corpuslens.llm import text_tasks as T
 
 # Fixed value: the pattern whose matches are the words; anything else is dropped.
 SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{B.SPACE}\p{{L}}\p{{N}}]+")
-SLICE_BYTES = 1 << 20
-MOST_KEPT = 1 << 18  # runs whose ids a task remembers at a time,
-MOST_BYTES = 8 << 20  # and their characters
+SLICE_BYTES = 4 << 20
+MOST_KEPT = 1 << 19  # runs whose ids a task remembers at a time,
+MOST_BYTES = 16 << 20  # and their characters
 LONG_WORD = 64  # bytes; such words are merged one by one
 
 
