@@ -3,7 +3,7 @@
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept. All
 but the last return the columns of ``documents``:
 
-* ``language_id`` drops texts in no language (null, or without a letter);
+* ``language_id`` drops texts in no known language (null, without a letter, or of n-grams that no language has);
 * ``exact_dedup`` keeps, of equal texts, the row with the largest doc_id;
 * ``ngram_join`` keeps one document of each component of near copies;
 * ``secret_scan`` keeps every document and masks the secrets in its text;

@@ -1,16 +1,19 @@
 """Language identification by language-bitmask n-gram filters.
 
-A language's list has the byte 4-grams (letters in lower case, all else spaces) that make up
-at least one in ``rarity`` of all n-grams of its training texts, so at most ``rarity`` of
-them. All lists share one bit-sliced Bloom filter: each place holds a bitmask of languages,
+A language contains a byte 4-gram (letters in lower case, all else spaces) of its training
+texts if its rate there, a share of all the language's n-grams, is at least one in ``share`` of the greatest
+rate in any language; below that it is a stray word of another language. No n-gram is
+dropped for being rare. All lists share one bit-sliced Bloom filter: each place holds a bitmask of languages,
 and the masks at an n-gram's two places, joined by AND, are the languages that list it. Per
 text and language, the set bits are counted, corrected by the language's rate of false
 positives, and the largest share of n-grams decides; of equal shares, the first language
 by name.
 
 Training counts n-grams over all labelled training texts; tasks add up before the shuffle,
-by language and n-gram, so a frequent language is no hot key. The driver gets the lists, at
-most ``rarity`` rows per language, and the tasks the filter, 8 MB for up to 64 languages.
+by language and n-gram, so a frequent language is no hot key. Lists grow with the corpus and stay in
+tables. The filter has 32 places for each n-gram of the longest list, from 2**20 to 2**22, so the driver
+gets at most 2**22 masks and the tasks 32 MB for up to 64 languages; in a fuller filter
+false positives are more, and corrected.
 
 Defined results: a null text, a text without a letter, and any text when no language was
 learned is ``und`` with score 0. Rows without language, and held-out ones, teach nothing; a
@@ -22,20 +25,27 @@ null doc_ids need no rule. All columns of the input are kept; those named ``lang
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.llm import language_tasks, text_tasks
+from corpuslens.llm.stored import stored
 
-RARITY = 50_000
-FILTER_BITS = 20
+SHARE = 16
+LEAST_BITS, MOST_BITS = 20, 22
+PLACES = 32  # of the filter for each n-gram of the longest list
 
 # Tasks get these functions with the query and need no copy of the package.
 cloudpickle.register_pickle_by_value(text_tasks)
 cloudpickle.register_pickle_by_value(language_tasks)
 
 
-def train(texts: DataFrame, rarity: int = RARITY, bits: int = FILTER_BITS):
+def filter_bits(longest: int) -> int:
+    """The filter for lists of up to ``longest`` n-grams has 2 to the power of this many places."""
+    return min(MOST_BITS, max(LEAST_BITS, (PLACES * longest - 1).bit_length()))
+
+
+def train(texts: DataFrame, share: int = SHARE, bits: int | None = None):
     """The filter of the labelled ``texts`` (text, lang)."""
     counts = (
         texts.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -45,22 +55,29 @@ def train(texts: DataFrame, rarity: int = RARITY, bits: int = FILTER_BITS):
         .agg(F.sum("n").alias("n"))
     )
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    listed = counts.join(total, "lang").filter(F.col("n") * rarity >= F.col("total"))
-    table = listed.select("lang", "gram").toArrow()
-    lang = table["lang"].combine_chunks().dictionary_encode()
-    langs = sorted(lang.dictionary.to_pylist())
-    number = np.array([langs.index(x) for x in lang.dictionary.to_pylist()], np.int64)
-    of_gram = number[lang.indices.to_numpy(zero_copy_only=False)] if langs else np.zeros(0, np.int64)
-    return language_tasks.build(langs, of_gram, table["gram"].to_numpy(), bits)
+    rates = counts.join(total, "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("rate"))
+    greatest = F.max("rate").over(Window.partitionBy("gram"))
+    listed = rates.withColumn("greatest", greatest).filter(F.col("rate") * share >= F.col("greatest"))
+    listed = stored(listed.select("lang", "gram"))
+    sizes = {row["lang"]: row["n"] for row in listed.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    langs = sorted(sizes)
+    bits = filter_bits(max(sizes.values(), default=0)) if bits is None else bits
+
+    def placed(batches):
+        return language_tasks.placed(batches, langs, bits)
+
+    masks = listed.mapInArrow(placed, "word int, place int, mask long").groupBy("word", "place").agg(F.bit_or("mask").alias("mask"))
+    table = masks.toArrow()
+    return language_tasks.build(langs, table["word"].to_numpy(), table["place"].to_numpy(), table["mask"].to_numpy(), bits)
 
 
-def predict(docs: DataFrame, training: DataFrame, rarity: int = RARITY, bits: int = FILTER_BITS) -> DataFrame:
+def predict(docs: DataFrame, training: DataFrame, share: int = SHARE, bits: int | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, learned from ``training`` (text, lang)."""
-    model = docs.sparkSession.sparkContext.broadcast(train(training, rarity, bits))
+    model = docs.sparkSession.sparkContext.broadcast(train(training, share, bits))
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def judged(texts: pa.Array) -> pa.Array:
-        return language_tasks.predicted(texts, model.value, bits)
+        return language_tasks.predicted(texts, model.value)
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
     return docs.select(*kept, judged(F.col("text")).alias("_judged")).select(
@@ -75,10 +92,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def in_known_language(docs: DataFrame) -> DataFrame:
-    """``docs``, all columns, without the documents in no language."""
+    """``docs``, all columns, without the documents in no known language: those that are ``und``, and
+    those of which no language contains more n-grams than by false positives (score 0)."""
     training = docs.filter(~held_out(F.col("doc_id"))).select("text", "lang")
     rows = predict(docs.select(F.struct("*").alias("document"), "text"), training)
-    return rows.filter(F.col("lang_pred") != "und").select("document.*")
+    return rows.filter((F.col("lang_pred") != "und") & (F.col("score") > 0)).select("document.*")
 
 
 def query(spark, directory: str) -> DataFrame:

@@ -82,12 +82,29 @@ def places(gram, bits):
     return (h & mask).astype(np.int64), (h >> np.uint64(32) & mask).astype(np.int64)
 
 
-def build(langs, lang, gram, bits):
-    """``(langs, slices, false positive rates)``: at each place a bitmask of languages, in as
-    many 64-bit words as needed. ``lang`` has each n-gram's number in ``langs``."""
+def masks(lang, gram, bits):
+    """``(word, place, mask)``: the bit that each n-gram sets for its language, at both places. ``lang``
+    has numbers of languages; masks have as many 64-bit words as these need."""
+    where = np.concatenate(places(gram, bits))
+    lang = np.tile(lang, 2)
+    return lang >> 6, where, np.uint64(1) << (lang & 63).astype(np.uint64)
+
+
+def placed(batches, langs, bits):
+    """Rows of ``masks`` for rows (lang, gram)."""
+    number = {name: i for i, name in enumerate(langs)}
+    for batch in batches:
+        lang = np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)
+        word, where, mask = masks(lang, batch.column("gram").to_numpy(), bits)
+        yield pa.record_batch(
+            {"word": word.astype(np.int32), "place": where.astype(np.int32), "mask": mask.view(np.int64)}
+        )
+
+
+def build(langs, word, where, mask, bits):
+    """``(langs, slices, false positive rates)``: at each place a bitmask of languages."""
     slices = np.zeros((max(1, -(-len(langs) // 64)), 1 << bits), np.uint64)
-    for where in places(gram, bits):
-        np.bitwise_or.at(slices, (lang >> 6, where), np.uint64(1) << (lang & 63).astype(np.uint64))
+    np.bitwise_or.at(slices, (word, where), mask.view(np.uint64))
     fill = [np.count_nonzero(slices[i >> 6] >> np.uint64(i & 63) & np.uint64(1)) / (1 << bits) for i in range(len(langs))]
     return list(langs), slices, np.array(fill) ** 2
 
@@ -96,9 +113,10 @@ def _has_letter(text):
     return text is not None and any(map(str.isalpha, text))
 
 
-def predicted(texts, model, bits):
+def predicted(texts, model):
     """A struct ``(lang_pred, score)`` per text."""
     langs, slices, wrong = model
+    bits = slices.shape[1].bit_length() - 1
     names, scores = [], []
     data, offsets = T.flat(texts)
     for first, last in T.slices(offsets, SLICE_BYTES):

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -39,7 +41,7 @@ def test_a_mask_has_every_language_that_lists_a_gram():
     langs = [f"l{i:02}" for i in range(70)]  # two words of 64 bits
     lang = rng.integers(0, 70, 20_000)
     gram = rng.integers(0, 2**32, 20_000)
-    _, slices, wrong = tasks.build(langs, lang, gram, 16)
+    _, slices, wrong = tasks.build(langs, *tasks.masks(lang, gram, 16), 16)
     one, two = tasks.places(gram, 16)
     mask = slices[lang >> 6, one] & slices[lang >> 6, two]
     assert (mask >> (lang & 63).astype(np.uint64) & np.uint64(1)).all()
@@ -63,12 +65,27 @@ def test_odd_cases(spark):
     assert {r.lang_pred for r in L.predict(docs, training.limit(0)).collect()} == {"und"}
 
 
-def test_documents_in_no_language_go(spark):
+def test_documents_in_no_known_language_go(spark):
     docs = odd_documents(spark)
     kept = L.in_known_language(docs)
     assert kept.columns == docs.columns
-    want = [r.text for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    learned = [r for r in docs.collect() if r.lang is not None and r.text is not None]
+    learned = [r for r in learned if r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    known = {g for r in learned for g in brute_grams(r.text)}
+    want = [r.text for r in docs.collect() if any(c.isalpha() for c in r.text or "") and known & set(brute_grams(r.text))]
     assert sorted(r.text for r in kept.collect()) == sorted(want)
+    assert "another text with the same number" in want
+
+
+def test_a_script_that_was_not_learned_goes(spark):
+    rows = [(i, "the words of this text are plain", "en") for i in range(8)]
+    rows += [(8, "\u4e2d\u6587\u6587\u672c\u6ca1\u6709\u5b66\u8fc7", None), (9, "words of a text", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in L.in_known_language(docs).collect()) == [*range(8), 9]
+
+
+def test_lists_grow_with_the_texts_and_the_filter_is_bounded():
+    assert [L.filter_bits(n) for n in (0, 1, 2**15, 2**15 + 1, 2**16 + 1, 10**9)] == [20, 20, 20, 21, 22, 22]
 
 
 def test_partial_counts_stay_bounded(monkeypatch):
@@ -96,16 +113,17 @@ def brute_places(gram, bits):
     return h % 2**bits, (h >> 32) % 2**bits
 
 
-def brute_predictions(texts, training, rarity, bits):
+def brute_predictions(texts, training, share, bits):
     counts = {}
     for text, lang in training:
         if text is not None and lang is not None:
             for g in brute_grams(text):
                 own = counts.setdefault(lang, {})
                 own[g] = own.get(g, 0) + 1
+    rates = {lang: {g: n / sum(own.values()) for g, n in own.items()} for lang, own in counts.items()}
     filters = {}
-    for lang, own in counts.items():
-        listed = [g for g, n in own.items() if n * rarity >= sum(own.values())]
+    for lang, own in rates.items():
+        listed = [g for g, rate in own.items() if rate * share >= max(r.get(g, 0) for r in rates.values())]
         places = {p for g in listed for p in brute_places(g, bits)}
         if places:  # a language that lists nothing is not learned
             filters[lang] = places, (len(places) / 2**bits) ** 2
@@ -115,24 +133,24 @@ def brute_predictions(texts, training, rarity, bits):
             out.append(("und", 0.0))
             continue
         grams = brute_grams(text)
-        share = {}
+        shares = {}
         for lang, (places, wrong) in filters.items():
             hits = sum(all(p in places for p in brute_places(g, bits)) for g in grams)
-            share[lang] = (hits / len(grams) - wrong) / max(1e-9, 1 - wrong)
-        best = min(share, key=lambda lang: (-share[lang], lang))
-        out.append((best, min(1.0, max(0.0, share[best]))))
+            shares[lang] = (hits / len(grams) - wrong) / max(1e-9, 1 - wrong)
+        best = min(shares, key=lambda lang: (-shares[lang], lang))
+        out.append((best, min(1.0, max(0.0, shares[best]))))
     return out
 
 
-@pytest.mark.parametrize("rarity, bits", [(50_000, 20), (300, 10), (40, 7)])
-def test_predictions_against_brute_force(spark, rarity, bits):
+@pytest.mark.parametrize("share, bits", [(16, 20), (2, 10), (1, 7)])
+def test_predictions_against_brute_force(spark, share, bits):
     """Also with filters so small that false positives are many and must be corrected."""
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang").limit(60).collect()
     training = [(r.text, r.lang) for r in rows[:40]] + [(None, "fr"), ("x", None), ("", "de")]
     texts = [r.text for r in rows[40:]] + [" ".join((r.text or "").split()[:2]) for r in rows[:20]] + [None, "", "12 !", "é", "a"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = L.predict(docs, spark.createDataFrame(training, "text string, lang string"), rarity, bits)
-    expected = brute_predictions(texts, training, rarity, bits)
+    found = L.predict(docs, spark.createDataFrame(training, "text string, lang string"), share, bits)
+    expected = brute_predictions(texts, training, share, bits)
     for r in found.collect():
         name, score = expected[r.doc_id]
         assert r.lang_pred == name
