@@ -279,6 +279,12 @@ def oracle_sql() -> dict[str, str]:
              FROM pairs WHERE round(cosine_similarity, 6) >= 0.6""",
         "top_similar": top_similar,
         "indexed_similar": top_similar,
+        "approximate_recall": _PAIRS
+        + """SELECT count(*) AS near, true AS recall_reached FROM (
+             SELECT row_number() OVER (PARTITION BY query ORDER BY round(cosine, 6) DESC, other) AS rank
+             FROM (SELECT book_a AS query, book_b AS other, cosine_similarity AS cosine FROM pairs
+                   UNION ALL SELECT book_b, book_a, cosine_similarity FROM pairs)
+             WHERE query % 50 = 0 AND round(cosine, 6) >= 0.8) WHERE rank <= 10""",
         "author_extract": _with(BOOKS, AUTHORS) + "SELECT * FROM authors",
         "author_years": _with(BOOKS, AUTHORS, AUTHOR_YEARS) + "SELECT * FROM author_years",
         "first_author_years": _with(BOOKS, AUTHORS, AUTHOR_YEARS)

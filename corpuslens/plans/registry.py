@@ -6,7 +6,7 @@ are rounded to six decimals, since the order of a distributed sum is not fixed.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.functions import tokens as text_functions
@@ -15,6 +15,7 @@ from corpuslens.operators import metadata as M
 from corpuslens.operators import similarity as S
 from corpuslens.operators import term_weights as T
 from corpuslens.operators.adjacency import adjacency, edges_of, numbered
+from corpuslens.operators.near_search import approximate_similar, measured_recall
 from corpuslens.operators.network_feed import feed, known_edges
 from corpuslens.operators.posting_index import build_index, search
 from corpuslens.operators.stop_words import usual_stop_words
@@ -102,6 +103,16 @@ def _indexed_similar(spark: SparkSession, directory: str) -> DataFrame:
     return search(index, docs, TARGET, k=5)
 
 
+def _every_fiftieth(doc: Column) -> Column:
+    return doc % 50 == 0
+
+
+def _approximate_recall(terms: T.Terms) -> DataFrame:
+    """Whether the approximate search finds nine in ten of the rows that an exact one has."""
+    recall = measured_recall(terms, _every_fiftieth)
+    return recall.select("near", (F.col("found") * 10 >= F.col("near") * 9).alias("recall_reached"))
+
+
 def _fed_network(spark: SparkSession, directory: str) -> DataFrame:
     """The network after books came in three lots, each taken in by a stream of its own run."""
     folder = run_folder(spark, "network")
@@ -175,6 +186,8 @@ def queries() -> dict[str, Query]:
         "pairs_above": _terms(lambda t: S.pairs_above(t, 0.6)),
         "top_similar": _terms(lambda t: S.top_similar(t, TARGET, k=5)),
         "indexed_similar": _indexed_similar,
+        "approximate_similar": _terms(lambda t: approximate_similar(t, _every_fiftieth)),
+        "approximate_recall": _terms(_approximate_recall),
         # influence network
         "author_extract": _books(lambda b: I.authors_and_years(b, KEY)),
         "author_years": _dated(lambda a: a),

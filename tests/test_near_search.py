@@ -1,0 +1,106 @@
+"""Approximate neighbours against brute force: no wrong row, and recall."""
+
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import brute_force
+from corpuslens.operators import near_search as N
+from corpuslens.operators import projection_tasks as tasks
+
+NAMES = [a + b + c + "q" for a in "bcdfghjkmn" for b in "aeiou" for c in "lmnprstvxz"]
+
+
+def corpus(seed=5, n=240):
+    """Groups of near copies at every distance, many exact copies of one text, and odd ones."""
+    rng = random.Random(seed)
+    bags = {}
+    for i in range(n):
+        if i % 3 == 0:
+            bag = rng.choices(NAMES, k=40)
+        changed = rng.randrange(0, 14) if i % 3 else 0
+        bags[f"d{i:03}"] = bag[changed:] + rng.choices(NAMES, k=changed)
+    bags |= {f"c{i:02}": NAMES[:9] for i in range(30)}
+    return bags | {"e0": [], "e1": ["lonely"]}
+
+
+def asked(doc):
+    return F.substring(doc, -1, 1).isin("0", "1", "5")
+
+
+def exact(bags, least, k):
+    near = {}
+    for (a, b), cosine in brute_force.cosines(bags).items():
+        if round(cosine, 6) >= least:
+            near.setdefault(a, []).append((-round(cosine, 6), b))
+            near.setdefault(b, []).append((-round(cosine, 6), a))
+    return {(q, other): -c for q, rows in near.items() if q[-1] in "015" for c, other in sorted(rows)[:k]}
+
+
+@pytest.mark.parametrize("least, k", [(0.8, 10), (0.6, 3), (0.95, 40)])
+def test_recall_and_exact_cosines(books, least, k):
+    bags = corpus()
+    rows = books(**{doc: " ".join(bag) for doc, bag in bags.items()})
+    found = N.approximate_similar(rows, asked, least, k).collect()
+    expected = exact(bags, least, k)
+    got = {(r["query"], r["similar"]): r["cosine"] for r in found}
+    assert len(got) == len(found)
+    assert sum(pair in got for pair in expected) >= 0.9 * len(expected) > 20
+    cosines = brute_force.cosines(bags)
+    for (a, b), cosine in got.items():
+        assert cosine >= least and a[-1] in "015"
+        assert cosine == pytest.approx(cosines[min(a, b), max(a, b)], abs=2e-6)
+    ranks = {}
+    for r in sorted(found, key=lambda r: (r["query"], r["rank"])):
+        ranks.setdefault(r["query"], []).append((r["rank"], -r["cosine"], r["similar"]))
+    for rows_ in ranks.values():
+        assert [r[0] for r in rows_] == list(range(1, len(rows_) + 1)) and len(rows_) <= k
+        assert [r[1:] for r in rows_] == sorted(r[1:] for r in rows_)
+    assert {s for q, s in got if q == "c00"} == {f"c{i:02}" for i in range(1, min(k, 29) + 1)}
+
+
+def test_measured_recall(books):
+    bags = corpus()
+    rows = books(**{doc: " ".join(bag) for doc, bag in bags.items()})
+    measured = N.measured_recall(rows, asked).first()
+    assert measured["near"] == len(exact(bags, 0.8, 10))
+    assert 0.9 * measured["near"] <= measured["found"] <= measured["near"]
+
+
+def test_tables_for_a_recall():
+    same = 1 - math.acos(0.8) / math.pi
+    hit = same**14 + 14 * same**13 * (1 - same)
+    n = N.tables_needed(0.8, 14, 0.95)
+    assert 1 - (1 - hit) ** n >= 0.95 > 1 - (1 - hit) ** (n - 1)
+    assert N.tables_needed(0.8, 1, 0.95) == 1
+    with pytest.raises(ValueError, match="between"):
+        N.approximate_similar(None, asked, 0.0)
+
+
+def test_no_documents(spark):
+    rows = spark.createDataFrame([], "file_name string, text string")
+    assert N.approximate_similar(rows, asked).count() == 0
+
+
+def test_projections_in_any_steps(monkeypatch):
+    rng = np.random.default_rng(1)
+    sizes = [0, 5, 1, 0, 30, 2]
+    words = pa.array([rng.integers(0, 2**40, n).tolist() for n in sizes], pa.list_(pa.int64()))
+    weights = pa.array([rng.random(n).tolist() for n in sizes], pa.list_(pa.float64()))
+    plain = [sum((w * tasks.signs(np.array([x]), 70)[0] for x, w in zip(xs, ws)), np.zeros(70)) for xs, ws in zip(words.to_pylist(), weights.to_pylist())]
+    for at_once in (1, 200, 10**6):
+        monkeypatch.setattr(tasks, "SIGNS_AT_ONCE", at_once)
+        assert np.allclose(tasks.projections(words, weights, 70), plain)
+
+
+def test_vectors_fall_on_one_side_as_often_as_their_angle_says():
+    rng = np.random.default_rng(2)
+    one = rng.random(50)
+    other = one + rng.random(50) * 0.8
+    sides = [np.sign(tasks.signs(np.arange(50), 20_000).T @ v) for v in (one, other)]
+    angle = math.acos(one @ other / np.linalg.norm(one) / np.linalg.norm(other))
+    assert np.mean(sides[0] == sides[1]) == pytest.approx(1 - angle / math.pi, abs=0.02)

@@ -13,7 +13,8 @@ from corpuslens.plans import oracle, registry
 DIRECTORY = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = registry.queries()
 ORACLE = oracle.oracle_sql()
-IN_ARROW = {"cosine_pairs", "pairs_above", "similarity_pair_count", "top_pairs"}
+IN_ARROW = {"approximate_recall", "cosine_pairs", "pairs_above", "similarity_pair_count", "top_pairs"}
+WITHOUT_SQL = {"approximate_similar"}  # see test_near_search.py
 # What must not stand in a filter or a join condition, where it would be evaluated again.
 SEARCHES = re.compile(r"regexp|rlike| RLIKE |split\(|instr\(", re.I)
 
@@ -32,11 +33,11 @@ def sorted_rows(frame):
     return frame[columns].sort_values(columns).reset_index(drop=True)
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+def test_every_exact_query_has_sql():
+    assert set(QUERIES) == set(ORACLE) | WITHOUT_SQL
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLE)
 def test_query(spark, database, name):
     result = QUERIES[name](spark, DIRECTORY)
     plan = result._jdf.queryExecution().toString()
