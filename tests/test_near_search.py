@@ -104,3 +104,20 @@ def test_vectors_fall_on_one_side_as_often_as_their_angle_says():
     sides = [np.sign(tasks.signs(np.arange(50), 20_000).T @ v) for v in (one, other)]
     angle = math.acos(one @ other / np.linalg.norm(one) / np.linalg.norm(other))
     assert np.mean(sides[0] == sides[1]) == pytest.approx(1 - angle / math.pi, abs=0.02)
+
+
+def test_vectors_are_sent_for_alike_pairs_only(books):
+    from corpuslens.operators.similarity import document_vectors
+    from corpuslens.operators.term_weights import term_tables
+
+    bags = corpus()
+    rows = books(**{doc: " ".join(bag) for doc, bag in bags.items()})
+    vectors = document_vectors(term_tables(rows)).filter("norm > 0")
+    asking = vectors.filter(asked(F.col("doc")))
+    every = asking.select(F.col("doc").alias("query")).crossJoin(vectors.select("doc")).filter("query <> doc")
+    kept = {tuple(r) for r in N.alike(every, asking, vectors, 0.8).collect()}
+    cosines = brute_force.cosines(bags)
+    cosine = {(q, d): cosines.get((min(q, d), max(q, d)), 0.0) for q, d in (tuple(r) for r in every.collect())}
+    assert kept >= {pair for pair, c in cosine.items() if c >= 0.8}
+    unlike = {pair for pair, c in cosine.items() if c < 0.1}
+    assert len(unlike) > 5000 and len(kept & unlike) < 0.01 * len(unlike)
