@@ -22,3 +22,17 @@ def test_frequent_keys_are_not_shuffled(spark):
     lookup = rows.groupBy("key").agg(F.count("*").alias("n"))
     plan = join_lookup(rows, lookup, "key", "n", F.lit(8), 2)._jdf.queryExecution().toString()
     assert "Union" in plan and "BroadcastHashJoin" in plan
+
+
+def test_keys_meet_by_a_hash_and_are_compared(spark, monkeypatch):
+    """Equal hashes of different keys join nothing, and null keys neither."""
+    rows = spark.createDataFrame([(f"w{i % 9}" if i % 10 else None, i) for i in range(90)], "key string, id int")
+    lookup = rows.filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"))
+    expected = sorted(rows.join(lookup, "key").select("key", "id", "n").collect())
+    plan = join_lookup(rows, lookup, "key", "n", F.lit(8), 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_hash" in plan
+    hashed = F.hash
+    monkeypatch.setattr(F, "xxhash64", lambda *of: hashed(*of).cast("bigint") % 2)
+    found = join_lookup(rows, lookup, "key", "n", F.lit(8), 4)
+    assert found.columns == ["key", "id", "n"]
+    assert sorted(found.collect()) == expected
