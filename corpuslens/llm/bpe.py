@@ -3,10 +3,11 @@
 Each word's symbols form a doubly linked list and a priority queue holds its pairs by merge
 rank; entries that a merge has outdated are skipped. Decoding puts the vocabulary's strings
 together. The vocabulary, a file of fixed size, is read by the driver and broadcast; texts
-are encoded where they are read, without a shuffle.
+are encoded where they are read, without a shuffle. Of the runs that white space cuts a
+batch into, each different one is encoded once; the ids of its places are copied from there.
 
 Defined results: a null text is empty and has no ids. Special tokens are recognised in
-texts, as the file says. Rows are encoded one by one, so ties, repeated rows and null doc_ids
+texts, as the file says. A row's ids depend on its text alone, so ties, repeated rows and null doc_ids
 need no rule; other columns are ignored; an empty table gives no row. A text of any length is
 encoded whole, in time n log n even without white space.
 """
@@ -17,11 +18,12 @@ from pyspark import Broadcast, SparkContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm import bpe_tasks
+from corpuslens.llm import bpe_tasks, text_tasks
 
 VOCABULARY = "byte_bpe_50k.json"
 
 # Tasks get these functions with the query and need no copy of the package.
+cloudpickle.register_pickle_by_value(text_tasks)
 cloudpickle.register_pickle_by_value(bpe_tasks)
 
 

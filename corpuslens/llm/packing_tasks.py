@@ -21,25 +21,6 @@ MOST_BYTES = 16 << 20  # and their characters
 LONG_WORD = 64  # bytes; such words are merged one by one
 
 
-class Ragged:
-    """Arrays of different lengths in one, which may grow."""
-
-    def __init__(self):
-        self.values, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
-
-    def add(self, values, bounds):
-        self.bounds = np.concatenate([self.bounds, bounds[1:] + len(self.values)])
-        self.values = np.concatenate([self.values, values])
-
-    def rows(self, index):
-        """The rows with these numbers, one after the other, and their bounds."""
-        lengths = (self.bounds[1:] - self.bounds[:-1])[index]
-        bounds = np.zeros(len(index) + 1, np.int64)
-        np.cumsum(lengths, out=bounds[1:])
-        place = np.arange(bounds[-1]) + np.repeat(self.bounds[:-1][index] - bounds[:-1], lengths)
-        return self.values[place], bounds
-
-
 class WordEncoder:
     """Ids of runs without white space, remembered for a task in bounded memory."""
 
@@ -57,7 +38,7 @@ class WordEncoder:
 
     def forget(self):
         self.runs, self.words, self.kept = {}, {}, 0
-        self.ids_of_runs, self.ids_of_words = Ragged(), Ragged()
+        self.ids_of_runs, self.ids_of_words = T.Ragged(), T.Ragged()
 
     def rows(self, runs):
         """For each run (text without white space) the number of its row in ``ids_of_runs``."""

@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -75,6 +76,29 @@ def test_decoding_gives_the_librarys_text(spark, library):
     assert bpe.encode(no_documents(spark), vocabulary).count() == 0
 
 
+def test_texts_of_a_batch_are_cut_without_moving_a_border(library, vocabulary, monkeypatch):
+    """White space of all kinds behind and before letters, signs and special tokens."""
+    marks = ["a", "é", "中", "🙂", "%", "'s", "<|endoftext|>", " ", "\n", "\xa0", "\x85", "\u1680", "\u2003", "\u2028", "\u205f", "\u3000", "Ġ"]
+    texts = [None, "", *(a + b + c + "x" for a in marks for b in marks for c in marks), " ", ""]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    want = library.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    for most_bytes in (tasks.SLICE_BYTES, 1000):
+        monkeypatch.setattr(tasks, "SLICE_BYTES", most_bytes)
+        found = pa.Table.from_batches(tasks.encoded([batch], vocabulary))
+        assert found["ids"].to_pylist() == [w.ids for w in want]
+        assert found["doc_id"].to_pylist() == list(range(len(texts)))
+
+
+def test_each_different_run_of_a_batch_is_split_once(vocabulary, monkeypatch):
+    split = []
+    parts = tasks.Encoder.parts
+    monkeypatch.setattr(tasks.Encoder, "parts", lambda self, cut: split.append(cut) or parts(self, cut))
+    texts = pa.array(["one two, 3 two,"] * 1000 + ["two, one"])
+    batch = pa.record_batch({"doc_id": pa.array(range(1001), pa.int64()), "text": texts})
+    list(tasks.encoded([batch], vocabulary))
+    assert sorted(split) == [" 3", " one", " two,", "one", "two,"]
+
+
 def test_memory_of_words_is_bounded(vocabulary, monkeypatch):
     texts = strange_texts(300)
     whole = [list(tasks.Encoder(vocabulary).ids(t)) for t in texts]
