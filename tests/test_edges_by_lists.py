@@ -1,0 +1,43 @@
+"""Edges from lists of authors: none is shuffled for each group it meets."""
+
+import random
+
+import pytest
+
+import brute_force
+from corpuslens.operators import influence as I
+from corpuslens.operators.kept import Kept
+
+RNG = random.Random(12)
+ROWS = [(f"w{RNG.randrange(30)}", 1990 + RNG.randrange(9)) for _ in range(90)]
+
+
+def pairs(frame):
+    found = [tuple(r) for r in frame.collect()]
+    assert len(set(found)) == len(found)
+    return set(found)
+
+
+@pytest.mark.parametrize("sent", [0, 1000])
+@pytest.mark.parametrize("at_once", [5, 10**6])
+def test_edges_whether_lists_are_sent_or_shuffled(dated, monkeypatch, sent, at_once):
+    monkeypatch.setattr(I, "SENT_AUTHORS", sent)
+    monkeypatch.setattr(I, "EDGES_IN_TASK", at_once)
+    monkeypatch.setattr(I, "GROUP_SLICE", 2)
+    assert pairs(I.influence_edges(dated(*ROWS), 2)) == brute_force.edges(ROWS, 2)
+    added = pairs(I.edges_added(dated(*ROWS[:60]), dated(*ROWS[60:]), 2))
+    assert added == brute_force.edges(ROWS, 2) - brute_force.edges(ROWS[:60], 2)
+
+
+def test_no_author_is_shuffled_for_a_meeting(dated):
+    plan = I.edges_added(dated(*ROWS[:60]), dated(*ROWS[60:]), 2)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("InMemoryTableScan")]
+    assert "SortMergeJoin" not in above and above.count("BroadcastHashJoin") >= 2
+
+
+def test_what_was_kept_is_released(dated):
+    with Kept() as kept:
+        rows = I.edges_added(dated(*ROWS[:60]), dated(*ROWS[60:]), 2, kept)
+        assert rows.count() > 0 and len(kept._kept) == 3
+        frames = list(kept._kept)
+    assert not any(f.is_cached and f.storageLevel.useMemory for f in frames)
